@@ -11,6 +11,9 @@ fraction of the segments, go through the look-ups. A beneficiary with several
 patient rows multiplies claims after the roll-up instead of segments before it.
 """
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,22 +94,25 @@ class Dimensions:
         }
 
 
-def unmatched_ids(claims: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
+def unmatched_ids(claim_tables: Sequence[DataFrame], dims: Dimensions, store: TableStore) -> DataFrame:
     """Ids in the claims that have no dimension row, as (kind, id) pairs.
 
-    One narrow scan; ids are made distinct before they are shuffled. Normally
-    few or none. The result is written, so that Spark knows how big it is.
+    One narrow scan per table; ids are made distinct before they are shuffled.
+    Normally few or none. The result is written, so that Spark knows its size.
     """
     pairs = [
         F.struct(F.lit(kind).alias("kind"), F.col(column).alias("id"))
         for column, kind in ID_COLUMNS.items()
     ]
-    used = claims.select(F.inline(F.array(*pairs))).where(F.col("id").isNotNull()).distinct()
-    known = None
-    for column, kind in ID_COLUMNS.items():
-        ids = dims.keys[column].select(F.lit(kind).alias("kind"), F.col(column).alias("id"))
-        known = ids if known is None else known.unionByName(ids)
-    return store.scratch("unmatched_ids", used.join(known, ["kind", "id"], "left_anti"))
+    used = [claims.select(F.inline(F.array(*pairs))) for claims in claim_tables]
+    known = [
+        dims.keys[column].select(F.lit(kind).alias("kind"), F.col(column).alias("id"))
+        for column, kind in ID_COLUMNS.items()
+    ]
+    ids = reduce(DataFrame.unionByName, used).where(F.col("id").isNotNull()).distinct()
+    return store.scratch(
+        "unmatched_ids", ids.join(reduce(DataFrame.unionByName, known), ["kind", "id"], "left_anti")
+    )
 
 
 def blank_unmatched(claims: DataFrame, unmatched: DataFrame) -> DataFrame:
@@ -144,11 +150,10 @@ def look_up_keys(claims: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def _fact_rows(
-    claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions, store: TableStore
+    claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions, unmatched: DataFrame
 ) -> DataFrame:
     segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
-    segments = blank_unmatched(segments, unmatched_ids(claims, dims, store))
-    rows = look_up_keys(roll_up(segments, measures), dims)
+    rows = look_up_keys(roll_up(blank_unmatched(segments, unmatched), measures), dims)
     rows = rows.withColumnRenamed("CLM_ID", "claim_id").withColumn("claim_type", F.lit(claim_type))
     present = set(rows.columns)
     return rows.select(
@@ -159,20 +164,21 @@ def _fact_rows(
     )
 
 
-def fact_inpatient(inpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
+def fact_inpatient(inpatient: DataFrame, dims: Dimensions, unmatched: DataFrame) -> DataFrame:
     """Fact rows of inpatient claims, without claim_key."""
-    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims, store)
+    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims, unmatched)
 
 
-def fact_outpatient(outpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
+def fact_outpatient(outpatient: DataFrame, dims: Dimensions, unmatched: DataFrame) -> DataFrame:
     """Fact rows of outpatient claims; stay, DRG, admission, coinsurance and
     physicians stay NULL."""
-    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims, store)
+    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims, unmatched)
 
 
 def fact_claims(
     inpatient: DataFrame, outpatient: DataFrame, dims: Dimensions, store: TableStore
 ) -> DataFrame:
     """Both sides in one fact with its surrogate key."""
-    rows = fact_inpatient(inpatient, dims, store).unionByName(fact_outpatient(outpatient, dims, store))
+    unmatched = unmatched_ids([inpatient, outpatient], dims, store)
+    rows = fact_inpatient(inpatient, dims, unmatched).unionByName(fact_outpatient(outpatient, dims, unmatched))
     return with_surrogate_key(rows, "claim_key", FACT_ORDER, store)

@@ -53,11 +53,13 @@ def _claims(layers: DerivedLayers) -> tuple[DataFrame, DataFrame]:
 
 
 def _fact_inpatient(layers: DerivedLayers) -> DataFrame:
-    return fact.fact_inpatient(layers.table(star.INPATIENT_CLAIMS), layers.dimensions(), layers.store)
+    claims, keys = layers.table(star.INPATIENT_CLAIMS), layers.dimensions()
+    return fact.fact_inpatient(claims, keys, fact.unmatched_ids([claims], keys, layers.store))
 
 
 def _fact_outpatient(layers: DerivedLayers) -> DataFrame:
-    return fact.fact_outpatient(layers.table(star.OUTPATIENT_CLAIMS), layers.dimensions(), layers.store)
+    claims, keys = layers.table(star.OUTPATIENT_CLAIMS), layers.dimensions()
+    return fact.fact_outpatient(claims, keys, fact.unmatched_ids([claims], keys, layers.store))
 
 
 def _monthly(layers: DerivedLayers) -> DataFrame:

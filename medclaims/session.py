@@ -23,6 +23,7 @@ def local_session(cores: str = "8", app_name: str = "medclaims", memory: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )

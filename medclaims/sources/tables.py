@@ -78,7 +78,7 @@ class TableStore:
         path = f"{self.root}/_scratch/{label}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         self._scratch.append(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def clear_scratch(self) -> None:
         while self._scratch:

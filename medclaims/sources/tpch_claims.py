@@ -81,14 +81,18 @@ def beneficiary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _segments(spark: SparkSession, sf_dir: str, inpatient: bool) -> DataFrame:
-    """Line items with their order's customer; orders divisible by 8 are inpatient."""
+    """Line items with their order's customer; orders divisible by 8 are inpatient.
+
+    Both sides grow with the data, so the join is a sort-merge join at any size;
+    its shuffle also spreads the wide projection that follows over all tasks.
+    """
     side = "= 0" if inpatient else "<> 0"
     orders = _table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_custkey as ck")
     lines = _table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as k", "l_linenumber as ln", "l_suppkey as sk",
         "l_extendedprice", "l_discount", "l_tax",
     )
-    joined = lines.where(f"k % 8 {side}").join(orders, "k")
+    joined = lines.where(f"k % 8 {side}").join(orders.hint("merge"), "k")
     return joined.selectExpr(
         "*",
         "date_add(date'2008-01-01', cast((k * 37) % 1100 as int)) as fd",
