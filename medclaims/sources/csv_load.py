@@ -23,29 +23,38 @@ def load_csv(
 
     A row is rejected when a value does not fit its type, a text is longer than
     declared or the number of fields is wrong. NULL alone is no sign of a bad
-    row, since every raw column may be NULL. ``on_error="abort"`` makes the
-    first unreadable row fail the job instead.
+    row, since every raw column may be NULL. ``good`` is typed; ``rejected``
+    keeps the texts as they came. ``on_error="abort"`` makes the first bad row
+    fail the job that reads ``good``.
+
+    The file is read as text and cast here, because the reader checks the types
+    of the selected columns only: a row would be good or bad depending on the
+    query. The test below reads every column, so each row is judged as a whole.
     """
     if on_error not in ("continue", "abort"):
         raise ValueError(f"on_error is 'continue' or 'abort', not {on_error!r}")
-    reader = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, CORRUPT]])
+    rows = (
+        spark.read.schema(texts)
         .option("header", True)
-        .option("mode", "PERMISSIVE" if on_error == "continue" else "FAILFAST")
+        .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        # a row is good or bad as a whole, whichever columns a query selects
-        .option("columnPruning", False)
+        .csv(list(paths))
+        .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
     )
-    rows = reader.csv(list(paths)).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
-    too_long = [
-        F.coalesce(F.length(field.name) > field.metadata["max_length"], F.lit(False))
-        for field in schema.fields
-        if "max_length" in field.metadata
-    ]
-    bad = F.col(CORRUPT).isNotNull() | reduce(lambda a, b: a | b, too_long, F.lit(False))
-    good = rows.where(~bad).drop(CORRUPT)
-    rejected = rows.where(bad)
-    return good, rejected
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    faults = [F.col(CORRUPT).isNotNull()]
+    for field in schema.fields:
+        text = F.col(field.name)
+        if "max_length" in field.metadata:
+            faults.append(text.isNotNull() & (F.length(text) > field.metadata["max_length"]))
+        else:
+            faults.append(text.isNotNull() & typed[field.name].isNull())
+    bad = reduce(lambda a, b: a | b, faults)
+    if on_error == "abort":
+        bad = F.when(bad, F.raise_error(F.concat(F.lit("bad row in "), SOURCE_FILE)).cast("boolean")).otherwise(False)
+    good = rows.where(~bad).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE)
+    return good, rows.where(bad)
 
 
 def read_beneficiary(spark: SparkSession, paths: Sequence[str], on_error: str = "continue"):
