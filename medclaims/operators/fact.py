@@ -117,16 +117,16 @@ def unmatched_ids(claim_tables: Sequence[DataFrame], dims: Dimensions, store: Ta
 
 def blank_unmatched(claims: DataFrame, unmatched: DataFrame) -> DataFrame:
     """Set ids without a dimension row to NULL, as their look-up would."""
+    marked = claims
     for column, kind in ID_COLUMNS.items():
         missing = unmatched.where(F.col("kind") == kind).select(
-            F.col("id").alias(column), F.lit(True).alias("_missing")
+            F.col("id").alias(column), F.lit(True).alias(f"no_{kind}")
         )
-        claims = (
-            claims.join(missing, column, "left")
-            .withColumn(column, F.when(F.col("_missing").isNull(), F.col(column)))
-            .drop("_missing")
-        )
-    return claims
+        marked = marked.join(missing, column, "left")
+    blanked = {
+        column: F.when(F.col(f"no_{kind}").isNull(), F.col(column)) for column, kind in ID_COLUMNS.items()
+    }
+    return marked.select(*[blanked.get(c, F.col(c)).alias(c) for c in claims.columns])
 
 
 def roll_up(claims: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -154,13 +154,10 @@ def _fact_rows(
 ) -> DataFrame:
     segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
     rows = look_up_keys(roll_up(blank_unmatched(segments, unmatched), measures), dims)
-    rows = rows.withColumnRenamed("CLM_ID", "claim_id").withColumn("claim_type", F.lit(claim_type))
-    present = set(rows.columns)
+    values = {name: F.col(name) for name in rows.columns}
+    values |= {"claim_id": F.col("CLM_ID"), "claim_type": F.lit(claim_type)}
     return rows.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in FACT_SCHEMA.fields
-        ]
+        *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA.fields]
     )
 
 

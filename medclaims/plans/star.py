@@ -42,17 +42,19 @@ class Layers:
     def __init__(self, store: TableStore):
         self.store = store
         self.spark = store.spark
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """The stored table; built now if it does not exist yet."""
-        if not self.store.exists(name):
+        if name not in self._built and not self.store.exists(name):
             self.build(name)
-        df = self.store.read(name)
+        df = self._built[name] if name in self._built else self.store.read(name)
         return df.select(*fact.FACT_COLUMNS) if name == FACT_CLAIMS else df
 
     def build(self, name: str) -> None:
         """(Re)write one table from the layer below."""
-        self.store.replace(name, self.builders()[name](), PARTITIONED_BY.get(name, ()))
+        df = self.builders()[name]()
+        self._built[name] = self.store.replace(name, df, PARTITIONED_BY.get(name, ()))
 
     def builders(self) -> dict[str, Callable[[], DataFrame]]:
         table = self.table

@@ -63,7 +63,7 @@ class TableStore:
         if had_table:
             fs.delete(old, True)
         self.clear_scratch()
-        return self.read(name)
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows; the first append creates the table."""
