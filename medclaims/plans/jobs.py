@@ -1,11 +1,11 @@
 """Logged refresh jobs over stored tables."""
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from medclaims import fixed_values as V
@@ -13,6 +13,7 @@ from medclaims import schemas
 from medclaims.operators import dims, fact, marts, quality
 from medclaims.plans import star
 from medclaims.plans.star import Layers
+from medclaims.sources import csv_load
 from medclaims.sources.tables import TableStore
 
 ETL_JOB_LOG = "ETL_JOB_LOG"
@@ -186,7 +187,37 @@ def run_quality_checks(ctx: JobContext, by_run: bool = False) -> JobResult:
     )
 
 
+def load_raw(
+    ctx: JobContext,
+    beneficiary: Sequence[str],
+    inpatient: Sequence[str],
+    outpatient: Sequence[str],
+    on_error: str = "continue",
+) -> dict[str, int]:
+    """Load CSV files into the raw tables; return the rejected rows of each.
+
+    Rejected rows go to ``<table>_REJECTED``. They are counted while the good rows
+    are written, so the files are read a second time only if there are any.
+    """
+    readers = {
+        star.BENEFICIARY_SUMMARY: (csv_load.read_beneficiary, beneficiary),
+        star.INPATIENT_CLAIMS: (csv_load.read_inpatient, inpatient),
+        star.OUTPATIENT_CLAIMS: (csv_load.read_outpatient, outpatient),
+    }
+    counts = {}
+    for name, (read, paths) in readers.items():
+        observed = Observation()
+        good, rejected = read(ctx.store.spark, paths, on_error, observed)
+        ctx.store.replace(name, good)
+        counts[name] = observed.get["rejected"]
+        if not counts[name]:
+            rejected = ctx.store.spark.createDataFrame([], rejected.schema)
+        ctx.store.replace(f"{name}_REJECTED", rejected)
+    return counts
+
+
 def build_all(ctx: JobContext, names: list[str] | None = None) -> None:
     """First build of the star schema and marts over loaded raw tables."""
+    layers = ctx.layers
     for name in names or [*star.STAR_TABLES, *star.MART_TABLES]:
-        ctx.layers.build(name)
+        layers.build(name)

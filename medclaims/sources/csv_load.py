@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +11,7 @@ from medclaims import schemas
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
+_BAD = "_bad"
 
 
 def load_csv(
@@ -18,6 +19,7 @@ def load_csv(
     paths: Sequence[str],
     schema: T.StructType,
     on_error: str = "continue",
+    observed: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, rejected)`` rows of headed CSV files.
 
@@ -25,7 +27,8 @@ def load_csv(
     declared or the number of fields is wrong. NULL alone is no sign of a bad
     row, since every raw column may be NULL. ``good`` is typed; ``rejected``
     keeps the texts as they came. ``on_error="abort"`` makes the first bad row
-    fail the job that reads ``good``.
+    fail the job that reads ``good``. ``observed`` learns the number of
+    ``rejected`` rows from the first job that reads ``good``.
 
     The file is read as text and cast here, because the reader checks the types
     of the selected columns only: a row would be good or bad depending on the
@@ -53,28 +56,45 @@ def load_csv(
     bad = reduce(lambda a, b: a | b, faults)
     if on_error == "abort":
         bad = F.when(bad, F.raise_error(F.concat(F.lit("bad row in "), SOURCE_FILE)).cast("boolean")).otherwise(False)
-    good = rows.where(~bad).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE)
-    return good, rows.where(bad)
+    judged = rows.withColumn(_BAD, bad)
+    counted = judged if observed is None else judged.observe(observed, F.count_if(_BAD).alias("rejected"))
+    good = counted.where(~F.col(_BAD)).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE)
+    return good, judged.where(_BAD).drop(_BAD)
 
 
-def read_beneficiary(spark: SparkSession, paths: Sequence[str], on_error: str = "continue"):
+def read_beneficiary(
+    spark: SparkSession,
+    paths: Sequence[str],
+    on_error: str = "continue",
+    observed: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """The yearly beneficiary files as one table.
 
     ``src_year`` is the first year (19xx/20xx) in the file name, for the
     one-row-per-beneficiary variant of the patient dimension.
     """
-    good, rejected = load_csv(spark, paths, schemas.BENEFICIARY, on_error)
+    good, rejected = load_csv(spark, paths, schemas.BENEFICIARY, on_error, observed)
     year = F.try_to_number(F.regexp_extract(SOURCE_FILE, r"((?:19|20)\d{2})", 1), F.lit("9999"))
     return good.withColumn("src_year", year.cast("int")).drop(SOURCE_FILE), rejected
 
 
-def read_inpatient(spark: SparkSession, paths: Sequence[str], on_error: str = "continue"):
+def read_inpatient(
+    spark: SparkSession,
+    paths: Sequence[str],
+    on_error: str = "continue",
+    observed: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Inpatient claim segments."""
-    good, rejected = load_csv(spark, paths, schemas.INPATIENT, on_error)
+    good, rejected = load_csv(spark, paths, schemas.INPATIENT, on_error, observed)
     return good.drop(SOURCE_FILE), rejected
 
 
-def read_outpatient(spark: SparkSession, paths: Sequence[str], on_error: str = "continue"):
+def read_outpatient(
+    spark: SparkSession,
+    paths: Sequence[str],
+    on_error: str = "continue",
+    observed: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """S3: outpatient claim segments."""
-    good, rejected = load_csv(spark, paths, schemas.OUTPATIENT, on_error)
+    good, rejected = load_csv(spark, paths, schemas.OUTPATIENT, on_error, observed)
     return good.drop(SOURCE_FILE), rejected
