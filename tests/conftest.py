@@ -2,7 +2,10 @@ import sys
 from datetime import datetime, timedelta
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
@@ -27,8 +30,9 @@ def store(spark, tmp_path):
 
 
 def frame(spark, schema, rows):
-    """Rows given as dicts; columns not named are NULL."""
-    return spark.createDataFrame([tuple(row.get(n) for n in schema.names) for row in rows], schema)
+    """Rows given as dicts; columns not named are NULL. By Arrow, so no Python worker rereads them."""
+    columns = [pa.array([row.get(f.name) for row in rows], to_arrow_type(f.dataType)) for f in schema.fields]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
 
 
 class Clock:
@@ -42,7 +46,7 @@ class Clock:
         return self.now
 
 
-@pytest.fixture
+@pytest.fixture(scope="session")
 def raw(spark):
     """Builders of raw tables from dicts."""
 
@@ -52,8 +56,6 @@ def raw(spark):
             df = frame(spark, schemas.BENEFICIARY, rows)
             if not year_column:
                 return df
-            from pyspark.sql import types as T
-
             schema = T.StructType([*schemas.BENEFICIARY.fields, T.StructField("src_year", T.IntegerType())])
             return frame(spark, schema, rows)
 
@@ -67,16 +69,18 @@ def raw(spark):
 
         @staticmethod
         def dimensions(patients=(), providers=(), diagnoses=()):
+            def pairs(rows, names):
+                schema = T.StructType([T.StructField(names[0], T.StringType()), T.StructField(names[1], T.LongType())])
+                return frame(spark, schema, [dict(zip(names, row)) for row in rows])
+
             return fact_ops.Dimensions(
-                spark.createDataFrame(list(patients), "patient_id string, patient_key bigint"),
-                spark.createDataFrame(list(providers), "provider_id string, provider_key bigint"),
-                spark.createDataFrame(list(diagnoses), "icd9_code string, diagnosis_key bigint"),
+                pairs(patients, ["patient_id", "patient_key"]),
+                pairs(providers, ["provider_id", "provider_key"]),
+                pairs(diagnoses, ["icd9_code", "diagnosis_key"]),
             )
 
         @staticmethod
         def fact(rows):
-            from pyspark.sql import types as T
-
             schema = T.StructType([T.StructField("claim_key", T.LongType()), *fact_ops.FACT_SCHEMA.fields])
             return frame(spark, schema, rows)
 

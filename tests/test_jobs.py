@@ -1,3 +1,4 @@
+import shutil
 from datetime import timedelta
 from decimal import Decimal as D
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from medclaims import fixed_values as V
 from medclaims.operators import dims, fact, joblog, quality
 from medclaims.plans import jobs, star
+from medclaims.sources.tables import TableStore
 from tests.conftest import Clock
 
 
@@ -18,17 +20,24 @@ def _segments():
     ]
 
 
-@pytest.fixture
-def ctx(raw, store):
-    """A store with raw tables and a first build of the star schema."""
+@pytest.fixture(scope="module")
+def first_build(spark, raw, tmp_path_factory):
+    """Raw tables and a first build of the star schema, made once."""
+    store = TableStore(spark, str(tmp_path_factory.mktemp("first")))
     segments = _segments()
     store.replace(star.BENEFICIARY_SUMMARY, raw.beneficiary(
         [{"DESYNPUF_ID": p, "BENE_BIRTH_DT": 19400101} for p in "ABC"]))
     store.replace(star.INPATIENT_CLAIMS, raw.inpatient(segments[:8]))
     store.replace(star.OUTPATIENT_CLAIMS, raw.outpatient(segments[8:]))
-    context = jobs.JobContext(store, Clock())
-    jobs.build_all(context, star.STAR_TABLES)
-    return context
+    jobs.build_all(jobs.JobContext(store, Clock()), star.STAR_TABLES)
+    return store.root
+
+
+@pytest.fixture
+def ctx(first_build, store):
+    """Each test works on its own copy of the first build."""
+    shutil.copytree(first_build, store.root)
+    return jobs.JobContext(store, Clock())
 
 
 def _log(ctx):
