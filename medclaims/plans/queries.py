@@ -10,7 +10,8 @@ from medclaims import fixed_values as V
 from medclaims.operators import audit, dims, fact, feeds, joblog, marts, quality
 from medclaims.plans import star
 from medclaims.plans.star import DerivedLayers, derived_layers
-from medclaims.sources import event_logs
+from medclaims.sources import csv_load, event_logs
+from medclaims.sources.csv_copies import csv_copy
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +75,27 @@ def _checks(positions=quality.ALL_CHECKS) -> Query:
     )
 
 
+_CSV_READERS = {
+    star.BENEFICIARY_SUMMARY: csv_load.read_beneficiary,
+    star.INPATIENT_CLAIMS: csv_load.read_inpatient,
+    star.OUTPATIENT_CLAIMS: csv_load.read_outpatient,
+}
+
+
+def _from_csv(layers: DerivedLayers, name: str) -> tuple[DataFrame, DataFrame]:
+    """A raw table by way of its CSV copy."""
+    return _CSV_READERS[name](layers.spark, [csv_copy(layers.store, name, layers.table(name))])
+
+
+def _csv_good(name: str) -> Query:
+    # the copies carry no year in their file names
+    return _over_layers(lambda layers: _from_csv(layers, name)[0].drop("src_year"))
+
+
+def _csv_rejected(layers: DerivedLayers) -> DataFrame:
+    return audit.row_counts({name: _from_csv(layers, name)[1] for name in star.RAW_TABLES})
+
+
 def _row_counts(names: list[str]) -> Query:
     return _over_layers(lambda layers: audit.row_counts({name: layers.table(name) for name in names}))
 
@@ -83,6 +105,11 @@ def _over_log(read: Callable[[SparkSession, str], DataFrame], report: Callable[[
 
 
 QUERIES: dict[str, Query] = {
+    # sources
+    "csv_beneficiary": _csv_good(star.BENEFICIARY_SUMMARY),
+    "csv_inpatient": _csv_good(star.INPATIENT_CLAIMS),
+    "csv_outpatient": _csv_good(star.OUTPATIENT_CLAIMS),
+    "csv_rejected": _over_layers(_csv_rejected),
     # dimensions
     "dim_date": _over_layers(_calendar_with_claims),
     "dim_patients": _stored(star.DIM_PATIENTS),

@@ -99,7 +99,7 @@ SELECT k AS claim_id, ln AS segment, k % 8 = 0 AS is_ip,
   CASE WHEN k % 101 <> 0 THEN {_pad('p + (CASE WHEN k % 8 = 0 THEN 0 ELSE 20 END)', 6)} END AS provider_id,
   {_pad('k % 999', 3)} AS drg, {_pad('sk', 10)} AS at_npi, {_pad('sk + ln', 10)} AS op_npi,
   {_dx('k + (CASE WHEN ln = 7 AND k % 90 = 0 THEN 1 ELSE 0 END)')} AS dx1,
-  {', '.join(f"{_dx(f'k * {i} + ln')} AS dx{i}" for i in range(2, 6))}
+  {', '.join(f"{_dx(f'k * {i} + ln')} AS dx{i}" for i in range(2, 11))}
 FROM (SELECT l_orderkey AS k, l_linenumber AS ln, l_suppkey AS sk, o_custkey AS ck,
         CAST(l_extendedprice AS DECIMAL(10,2)) AS price, l_discount, l_tax,
         DATE '2008-01-01' + CAST((l_orderkey * 37) % 1100 AS INTEGER) AS fd,
@@ -276,7 +276,59 @@ def _counts(tables: dict[str, str], *needs: str) -> str:
     return _sql(" UNION ALL ".join(parts) + " ORDER BY table_name", *needs)
 
 
+_RAW_FLAGS = [
+    "SP_ALZHDMTA", "SP_CHF", "SP_CHRNKIDN", "SP_CNCR", "SP_COPD", "SP_DEPRESSN", "SP_DIABETES",
+    "SP_ISCHMCHT", "SP_OSTEOPRS", "SP_RA_OA", "SP_STRKETIA",
+]  # fixed values, in flag order
+
+
+def _csv_beneficiary() -> str:
+    k = "CAST(substr(patient_id, 2) AS BIGINT)"
+    day = f"(1 + {k} % 12) * 100 + 1 + {k} % 28"
+    flags = ", ".join(
+        f"CAST(CASE WHEN {ours} THEN 1 WHEN NOT {ours} THEN 2 END AS INTEGER) AS {raw}"
+        for raw, ours in zip(_RAW_FLAGS, _FLAGS)
+    )
+    zeros = ", ".join(f"CAST(0 AS DOUBLE) AS {a}_{b}" for a in ("BENRES", "PPPYMT") for b in ("IP", "OP", "CAR"))
+    return f"""SELECT patient_id AS DESYNPUF_ID, CAST(birth_year * 10000 + {day} AS INTEGER) AS BENE_BIRTH_DT,
+    CAST(death_year * 10000 + {day} AS INTEGER) AS BENE_DEATH_DT, CAST(sex AS INTEGER) AS BENE_SEX_IDENT_CD,
+    CAST(race_code AS INTEGER) AS BENE_RACE_CD, CASE WHEN {k} % 15 = 0 THEN 'Y' ELSE '0' END AS BENE_ESRD_IND,
+    state_code AS SP_STATE_CODE, county_code AS BENE_COUNTY_CD, CAST(hi AS INTEGER) AS BENE_HI_CVRAGE_TOT_MONS,
+    CAST(smi AS INTEGER) AS BENE_SMI_CVRAGE_TOT_MONS, CAST(hmo AS INTEGER) AS BENE_HMO_CVRAGE_TOT_MONS, {flags},
+    CAST(ip_amount AS DOUBLE) AS MEDREIMB_IP, CAST(op_amount AS DOUBLE) AS MEDREIMB_OP,
+    CAST(car_amount AS DOUBLE) AS MEDREIMB_CAR, {zeros}
+    FROM bene WHERE {k} % 50 <> 1"""
+
+
+def _csv_claims(inpatient: bool) -> str:
+    codes = ", ".join(f"dx{i} AS ICD9_DGNS_CD_{i}" for i in range(1, 11))
+    procedures = ", ".join(f"CAST(NULL AS VARCHAR) AS ICD9_PRCDR_CD_{i}" for i in range(1, 7))
+    own = (
+        """admit_dt AS CLM_ADMSN_DT, thru_dt AS NCH_BENE_DSCHRG_DT,
+        CAST(deductible AS DOUBLE) AS NCH_BENE_IP_DDCTBL_AMT,
+        CAST(coinsurance AS DOUBLE) AS NCH_BENE_PTA_COINSRNC_LBLTY_AM,
+        CAST(stay AS INTEGER) AS CLM_UTLZTN_DAY_CNT, drg AS CLM_DRG_CD,"""
+        if inpatient
+        else """CAST(deductible AS DOUBLE) AS NCH_BENE_PTB_DDCTBL_AMT,
+        CAST(coinsurance AS DOUBLE) AS NCH_BENE_PTB_COINSRNC_AMT,"""
+    )
+    fit = "is_ip AND claim_id % 97 <> 0" if inpatient else "NOT is_ip AND claim_id % 89 <> 0"
+    return f"""SELECT patient_id AS DESYNPUF_ID, claim_id AS CLM_ID, segment AS SEGMENT, from_dt AS CLM_FROM_DT,
+    thru_dt AS CLM_THRU_DT, CAST(paid AS DOUBLE) AS CLM_PMT_AMT, CAST(payer AS DOUBLE) AS NCH_PRMRY_PYR_CLM_PD_AMT,
+    {own} provider_id AS PRVDR_NUM, at_npi AS AT_PHYSN_NPI, op_npi AS OP_PHYSN_NPI,
+    CAST(NULL AS VARCHAR) AS OT_PHYSN_NPI, {codes}, {procedures} FROM seg WHERE {fit}"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "csv_beneficiary": _sql(_csv_beneficiary(), "bene"),
+    "csv_inpatient": _sql(_csv_claims(inpatient=True), "seg"),
+    "csv_outpatient": _sql(_csv_claims(inpatient=False), "seg"),
+    "csv_rejected": _counts(
+        {"BENEFICIARY_SUMMARY": "bene WHERE CAST(substr(patient_id, 2) AS BIGINT) % 50 = 1",
+         "INPATIENT_CLAIMS": "seg WHERE is_ip AND claim_id % 97 = 0",
+         "OUTPATIENT_CLAIMS": "seg WHERE NOT is_ip AND claim_id % 89 = 0"},
+        "bene", "seg",
+    ),
     "dim_date": _sql(
         """SELECT days.*, coalesce(n, 0) AS claims_started FROM days LEFT JOIN
         (SELECT claim_from_date_key AS k, count(*) AS n FROM fact GROUP BY 1) ON k = date_key""",
