@@ -30,7 +30,6 @@ def csv_copy(store: TableStore, name: str, table: DataFrame) -> str:
         column, faulty, text = _FAULTS[name]
         texts = {c: F.col(c).cast("string") for c in _SCHEMAS[name].names}
         texts[column] = F.when(F.expr(faulty), F.lit(text)).otherwise(texts[column])
-        table.select(*[value.alias(c) for c, value in texts.items()]).write.option("header", True).csv(
-            store.path(folder)
-        )
+        rows = table.select(*[value.alias(c) for c, value in texts.items()])
+        store.put(folder, lambda path: rows.write.option("header", True).csv(path))
     return store.path(folder)

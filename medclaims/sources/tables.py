@@ -1,7 +1,7 @@
 """Parquet tables under one root folder: read, replace, append."""
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -25,8 +25,9 @@ class TableStore:
         return hadoop_path.getFileSystem(conf), hadoop_path
 
     def exists(self, name: str) -> bool:
-        fs, done = self._fs(f"{self.path(name)}/_SUCCESS")
-        return fs.exists(done)
+        """Tables appear by a rename once they are complete, so the folder is enough."""
+        fs, path = self._fs(self.path(name))
+        return fs.exists(path)
 
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         """S6 scan by name. S10: with a schema, a table not yet written is empty."""
@@ -42,11 +43,17 @@ class TableStore:
         The old table stays readable until the new one is complete, so a failed
         job leaves it as it was, and ``df`` may read the table it replaces.
         """
+        self.put(name, lambda path: df.write.partitionBy(*partition_by).parquet(path))
+        self.clear_scratch()
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def put(self, name: str, write: Callable[[str], None]) -> None:
+        """Let ``write`` fill a new folder, then make it the folder ``name``."""
         fs, target = self._fs(self.path(name))
         _, fresh = self._fs(f"{self.root}/_incoming/{name}-{uuid.uuid4().hex}")
         _, old = self._fs(f"{self.root}/_outgoing/{name}-{uuid.uuid4().hex}")
         try:
-            df.write.partitionBy(*partition_by).parquet(fresh.toString())
+            write(fresh.toString())
         except Exception:
             fs.delete(fresh, True)
             raise
@@ -62,8 +69,6 @@ class TableStore:
             raise OSError(f"could not put {name} in place")
         if had_table:
             fs.delete(old, True)
-        self.clear_scratch()
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows; the first append creates the table."""
