@@ -5,6 +5,7 @@ A word is ``[^\\x20\\x09-\\x0D]+``, which is what ``bytes.split()`` finds.
 
 import uuid
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,11 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def share_package(spark) -> None:
+    """Let Python workers look for this package where the driver found it, too."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def llm_store(spark) -> TableStore:
     """Tables of this application in the folder all executors share."""
     return TableStore(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/llm")

@@ -17,12 +17,14 @@ from medclaims.llm import (
     sharding,
     substring_dedup,
 )
+from medclaims.llm.common import share_package
 from medclaims.llm.tokenizers_path import tokenizer_path
 
 SHARDS = [1.0] * 16
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
