@@ -40,7 +40,7 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     It is then computed once, has a known size and outlives any executor.
     """
     path = f"{llm_store(df.sparkSession).root}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,9 @@ each. An empty table gives an empty result; other columns are never looked at.
 """
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
 
@@ -29,9 +31,10 @@ from medclaims.llm.common import byte_texts, numbered, scratch
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"
-# words whose ids a task remembers, at most
+# words whose ids a worker remembers, twice this many at most
 CACHED_WORDS = 200_000
 _DOCS_AT_ONCE = 256
+_WORD_END = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|\Z)")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -39,8 +42,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordEncoder:
     """Ids of texts as little-endian bytes, word by word.
 
-    The tokenizer splits at white space before it merges, so the ids of a text
-    are those of its words in order, and frequent words are looked up.
+    The tokenizer lower-cases, and splits at white space and between letters and
+    marks before it merges. So the ids of a text are those of its words in order, a full stop or
+    comma that ends a word can be taken as a word of its own, and frequent words are looked up.
+    Words not met for ``CACHED_WORDS`` other ones are forgotten.
     """
 
     def __init__(self, path: str):
@@ -49,23 +54,41 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
+        # a special token is found by its exact letters
+        lowered = text if b"<|" in text else text.lower()
+        return _WORD_END.sub(rb" \1", lowered).split()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        words = [text.split() for text in texts]
-        new = list({word for line in words for word in line} - self.known.keys())
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {}
-            new = list({word for line in words for word in line})
-        encoded = self.tokenizer.encode_batch([word.decode() for word in new], add_special_tokens=False)
+        words = list(map(self.words, texts))
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        new = set().union(*words).difference(self.known)
+        self.known.update({word: self.older[word] for word in new.intersection(self.older)})
+        new = list(new.difference(self.older))
+        encoded = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
         for word, ids in zip(new, encoded):
-            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+            self.known[word] = array("I", ids.ids).tobytes()
         for line in words:
             yield b"".join(map(self.known.__getitem__, line))
 
 
+_encoders: dict[str, WordEncoder] = {}
+
+
+def _encoder(path: str) -> WordEncoder:
+    """One for all tasks of a Python worker."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
+
+
 def _cut(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = _encoder(path)
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))
             rows = []
