@@ -1,0 +1,387 @@
+"""The corpus operators against brute force on a small fixture with hard rows."""
+
+import collections
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from medclaims.llm import (
+    components,
+    exact_dedup,
+    language_id,
+    licences,
+    minhash_dedup,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    substring_dedup,
+)
+from medclaims.llm.common import scratch
+from medclaims.llm.tokenizers_path import tokenizer_path
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()),
+                    ("n_chars", pa.int64()), ("digest", pa.string()), ("row", pa.string()), ("key", pa.int32())])
+
+
+def prose(n, seed, words=400):
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(words)}{rng.choice('abcdef')}" for _ in range(n))
+
+
+def rows():
+    long = prose(9000, 1)
+    passage, near = prose(60, 2), prose(120, 3).split()
+    texts = [None, "", " \t\n", "one", "Ünï two\x0bthree", long, long, prose(200, 5) + " " + passage,
+             passage + "\n" + prose(90, 6), "é" * 3000, passage, "x " * 200, "a b c d", "A B c d", "All rights reserved."]
+    texts += [" ".join(near[:i] + [f"new{i}"] + near[i:]) for i in range(0, 120, 6)]
+    texts += ["Same Text as ever, same text"] * 5 + [prose(150, 7)] * 3
+    texts += [prose(random.Random(i).randrange(5, 300), 100 + i) for i in range(40)]
+    ids = list(range(len(texts)))
+    ids[3] = None
+    table = [(i, t, ["en", "fr", None][k % 3], ["a", "b", None, "a"][k % 4], len(t or "")) for k, (i, t) in enumerate(zip(ids, texts))]
+    return table + [table[7], table[5]]  # repeated rows
+
+
+def frame(spark, table):
+    columns = list(zip(*table)) or [[]] * 5
+    extra = [["x"] * len(table), ["y"] * len(table), [1] * len(table)]
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip([*columns, *extra], SCHEMA)], schema=SCHEMA))
+
+
+@pytest.fixture(scope="module")
+def table():
+    return rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, table):
+    return scratch(frame(spark, table).repartition(3), "fixture")
+
+
+@pytest.fixture(scope="module")
+def labels(spark, table):
+    known = [(i, int(k % 5 > 0)) for k, (i, *_) in enumerate(table) if k % 2] + [(None, 1), (2, None)]
+    return spark.createDataFrame(pa.table({"doc_id": pa.array([a for a, _ in known]), "quality": pa.array([b for _, b in known])}))
+
+
+def collected(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+def same(found, expected):
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
+
+
+@pytest.mark.parametrize("window,seed", [(35, 18), (5, 3)])
+def test_substring_dedup(docs, table, window, seed):
+    grams = collections.Counter(
+        tuple(w[k : k + window]) for _, t, *_ in table for w in [words(t)] for k in range(len(w) - window + 1)
+    )
+    expected = []
+    for doc_id, text, *_ in table:
+        w = words(text)
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if grams[tuple(w[k : k + window])] > 1:
+                gone.update(range(k, k + window))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        expected.append((doc_id, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    result = substring_dedup.remove_repeats(docs, window, seed)
+    same(collected(result.drop("spans")), expected)
+    for row in result.collect():
+        assert sum(s.end_word - s.first_word for s in row.spans) == row.n_removed
+
+
+def near_brute(table, width=4):
+    sets = {}
+    for doc_id, text, *_ in table:
+        w = [x.lower() for x in words(text)]
+        sets.setdefault((doc_id, text), {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set())
+    parent = {key: key for key in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    keys = [k for k in sets if sets[k] and k[0] is not None]
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) or a[0] == b[0]:
+                parent[root(a)] = root(b)
+    least = {}
+    for k in keys:
+        least[root(k)] = min(k[0], least.get(root(k), k[0]))
+    return sets, {k: least[root(k)] if k in keys else k[0] for k in sets}
+
+
+@pytest.mark.parametrize("block_docs", [256, 4])
+def test_near_dedup_whole_and_in_blocks(docs, table, block_docs):
+    sets, component = near_brute(table)
+    expected = [(i, len(sets[i, t]), component[i, t], i is None or component[i, t] == i) for i, t, *_ in table]
+    same(collected(minhash_dedup.near_groups(docs, block_docs=block_docs)), expected)
+
+
+def test_components_are_those_of_union_find(spark):
+    rng = random.Random(4)
+    links = {tuple(sorted((rng.randrange(400), rng.randrange(400)), reverse=True)) for _ in range(220)}
+    links = [(a, b) for a, b in links if a != b] + [(a + 1, a) for a in range(1000, 1060)]
+    df = scratch(spark.createDataFrame(pa.table({"a": [a for a, _ in links], "b": [b for _, b in links]})), "links")
+    parent = {x: x for pair in links for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    assert dict(collected(components.components(df, "test"))) == {x: root(x) for x in parent if root(x) != x}
+
+
+@pytest.mark.parametrize("counters", [4096, 3])
+def test_exact_dedup(docs, table, counters):
+    groups = collections.defaultdict(list)
+    for doc_id, text, *_ in table:
+        groups[(text or "").translate(LOWER)].append(doc_id)
+    found = collected(exact_dedup.exact_groups(docs, counters))
+    for text, ids in groups.items():
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        mine = [r for r in found if r[4] == digest]
+        best = max((i for i in ids if i is not None), default=None)
+        assert sorted(map(repr, (r[0] for r in mine))) == sorted(map(repr, ids))
+        assert {r[1:3] for r in mine} == {(best, len(ids))}
+        assert [r[0] for r in mine if r[3]] == [best]
+    kept = exact_dedup.drop_copies(docs, counters)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+
+
+def test_misra_gries_finds_every_frequent_digest(spark):
+    values = ["hot"] * 400 + ["warm"] * 150 + [f"v{i}" for i in range(450)]
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame(pa.table({"digest": values})).repartition(4)
+    found = {r[0] for r in exact_dedup.frequent_digests(df, 20).collect()}
+    assert {"hot", "warm"} <= found and len(found) <= 20
+
+
+def test_quality_counts(docs, table, labels):
+    expected = []
+    for doc_id, text, *_ in table:
+        w = words(text)
+        grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        gone = {j for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        lines = [line for line in (text or "").split("\n") if words(line)]
+        expected.append((doc_id, len(w), len(b"".join(w).decode()), sum((text or "").count(c) for c in "#*$%&|<>"),
+                         len(lines) - len(set(lines)), len(gone), len(w) < 10 or 100 * len(gone) > 20 * len(w)))
+    result = quality_rules.judge(docs, labels)
+    same(collected(result.drop("anomaly", "kept")), expected)
+    assert all(not r.kept for r in result.collect() if r.base_failed)
+    none = quality_rules.judge(docs, labels.where("false"))
+    assert all(r.kept != r.base_failed for r in none.collect())
+
+
+def test_isolation_forest_scores_outliers_higher():
+    rng = np.random.default_rng(3)
+    sample = rng.normal(size=(2000, 3))
+    forest = quality_rules.grow(sample)
+    inner, outer = forest.scores(rng.normal(size=(200, 3))), forest.scores(rng.normal(size=(200, 3)) + 6)
+    assert outer.min() > np.quantile(inner, 0.95)
+
+
+def test_mixing_cuts_at_the_budget(docs, table):
+    found = mixing.taken_tokens(
+        docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text"), bucket_docs=3
+    ).join(docs.select("doc_id", "source").distinct(), "doc_id").collect()
+    sizes = collections.Counter()
+    for _, text, _, source, _ in table:
+        sizes[source] += len(words(text))
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total, capped = 1.5 * sum(sizes.values()), set()
+    while True:
+        level = (total - sum(2 * sizes[s] for s in capped)) / sum(weights[s] for s in order if s not in capped)
+        over = {s for s in order if s not in capped and weights[s] * level > 2 * sizes[s]}
+        if not over:
+            break
+        capped |= over
+    target = {s: 2.0 * sizes[s] if s in capped else weights[s] * level for s in order}
+    taken = collections.Counter()
+    for r in mixing.mix_tokens(docs).collect():
+        assert r.taken <= 2 * r["size"]
+    for r in found:
+        assert r.target == pytest.approx(target[r.source])
+        taken[r.source] += r.taken
+    whole = mixing.mix_tokens(docs).agg(F.sum("taken")).first()[0]
+    assert abs(whole - sum(target.values())) <= len(order)
+    same(collected(mixing.mix_tokens(docs)), collected(mixing.mix_tokens(docs.repartition(5))))
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+
+
+def test_sharding(docs, table):
+    found = sharding.shard_rows(docs, [1.0] * 16).collect()
+    same([(r.doc_id, r["size"], r.text_crc32) for r in found],
+         [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in table])
+    by_shard = collections.defaultdict(list)
+    for r in found:
+        by_shard[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 16)
+    assert all(sorted(slots) == list(range(len(slots))) for slots in by_shard.values())
+    larger = sharding.shard_rows(docs, [1.0] * 17).collect()
+    assert {(r.doc_id, r.grown_shard) for r in found} == {(r.doc_id, r.shard) for r in larger}
+
+
+def test_shards_follow_their_weights(spark):
+    ids = spark.range(4000).select(sharding.rendezvous(F.col("id"), [1.0, 3.0]).alias("s"))
+    assert 0.72 < ids.agg(F.avg("s")).first()[0] < 0.78
+
+
+def test_packing(docs, table):
+    encoder = packing.WordEncoder(tokenizer_path(packing.TOKENIZER))
+    expected = []
+    for doc_id, text, *_ in table:
+        ids = np.array([*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            expected.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
+    result = packing.pack(docs, tokenizer_path(packing.TOKENIZER))
+    found = collected(result)
+    same([r[:5] for r in found], expected)
+    sequences = collections.defaultdict(list)
+    for r in found:
+        sequences[r[5]].append((r[6], r[3]))
+    for members in sequences.values():
+        end = 0
+        for offset, length in sorted(members):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(sequences) <= -(-sum(r[3] for r in expected) // 2048) + 1
+
+
+def test_ids_of_words_are_those_of_texts():
+    encoder = packing.WordEncoder(tokenizer_path(packing.TOKENIZER))
+    odd = ["a.. b., c.", "x<|endoftext|>y. Z.", "<|ENDOFTEXT|>. q", "It's 2.5, 3. É. é. ΑΣ. ΣΑΣ", " a b.\x85c \x1cd.", "a.́ b", "...", ". , ."]
+    for text, ids in zip(odd, encoder.encode([t.encode() for t in odd])):
+        assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist()
+
+
+def test_plan_uses_every_piece_once():
+    counts = {int(k): int(v) for k, v in zip(*np.unique(np.random.default_rng(2).integers(1, 101, 5000), return_counts=True))}
+    patterns = packing.plan(counts, 100)
+    used = collections.Counter()
+    for lengths, times in patterns:
+        assert sum(lengths) <= 100
+        for length in lengths:
+            used[length] += times
+    assert used == counts
+    assert sum(t for _, t in patterns) <= sum(k * v for k, v in counts.items()) / 100 * 1.02
+    assert packing.plan({}, 100) == []
+
+
+def test_viterbi_is_the_best_path():
+    scores = np.random.default_rng(5).normal(size=(6, 3)).astype(np.float32) * 3
+    labels = language_id.viterbi(scores, np.array([0, 4, 4, 6]), penalty=2.0)
+
+    def total(path, own):
+        return sum(own[i, s] for i, s in enumerate(path)) - 2.0 * sum(a != b for a, b in zip(path, path[1:]))
+
+    for own, got in ((scores[:4], labels[:4]), (scores[4:], labels[4:])):
+        best = max(total(p, own) for p in np.ndindex(*[3] * len(own)))
+        assert total(tuple(got), own) == pytest.approx(best, abs=1e-4)
+
+
+def test_language_id(spark, docs):
+    rng = random.Random(8)
+    sounds = {"one": ["ka", "ki", "to"], "two": ["ßer", "ung", "lich"], "кир": ["да", "не", "жи"]}
+    rows_ = []
+    for i in range(300):
+        lang = rng.choice(list(sounds))
+        text = " ".join("".join(rng.choices(sounds[lang], k=3)) for _ in range(20))
+        rows_.append((i, text, lang, "s", 1))
+    rows_ += [(301, None, "one", "s", 1), (302, "12 !?", None, "s", 1), (303, rows_[0][1] + " " + rows_[1][1] + " даненеда жидажи", "one", "s", 1)]
+    found = {r.doc_id: r for r in language_id.label_documents(frame(spark, rows_)).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in found.items())
+    assert all(found[i].lang_pred == lang for i, _, lang, *_ in rows_[:300])
+    assert found[301].lang_pred == found[302].lang_pred == "und" and found[301].score == 0
+    assert found[303].spans[-1].lang == "кир" and 0 < found[303].score < 1
+    assert {r.lang_pred for r in language_id.label_documents(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_quality_classifier(spark, docs, labels):
+    rng = random.Random(6)
+    rows_ = [(i, prose(60, i) if i % 4 else "### $$$ BUY!! " * rng.randrange(5, 30), "en", f"s{i % 3}", 300) for i in range(400)]
+    known = spark.createDataFrame(pa.table({"doc_id": list(range(200)), "quality": [int(i % 4 > 0) for i in range(200)]}))
+    found = quality_classifier.classify(frame(spark, rows_), known).collect()
+    assert len(found) == 400 and all(r.rejected == (r.doc_id % 4 == 0) for r in found)
+    kept = quality_classifier.keep_good(frame(spark, rows_), known)
+    assert kept.count() == 300
+    odd = quality_classifier.classify(docs, labels)
+    assert odd.count() == docs.count()
+    assert not any(r.rejected for r in quality_classifier.classify(docs, labels.where("false")).collect())
+
+
+def test_views_exchange_sure_labels():
+    rng = np.random.default_rng(1)
+    y = np.arange(40) % 2
+    pool_y = np.arange(400) % 2
+    data, pool = ((k[:, None] * 4 + rng.normal(size=(len(k), 2)), rng.normal(size=(len(k), 2))) for k in (y, pool_y))
+    _, gained = quality_classifier.co_train(data, y, pool)
+    assert gained[1] > 0
+
+
+def test_licences(spark):
+    notices = {
+        1: ("Released under the MIT License.", "mit"), 2: ("x\nLicensed under the Apache License, Version 2.0.", "apache"),
+        3: ("All rights reserved.\n" + prose(50, 1), "proprietary"), 4: ("Licensed under CC BY-NC 4.0.", "cc"),
+        5: ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+        6: ("a license to sing " + prose(30, 2), ""), 7: (None, ""), 8: ("", ""), 9: (prose(4000, 3), ""),
+        10: ("Released under the MIT License.\nAll rights reserved.", "mit,proprietary"),
+    }
+    table = [(i, t, "en", "s", 1) for i, (t, _) in notices.items()] + [(100 + i, prose(30, i), "en", "s", 1) for i in range(50)]
+    found = {r.doc_id: ",".join(r.families) for r in licences.scan(frame(spark, table)).collect()}
+    assert found == {i: e for i, (_, e) in notices.items()} | {100 + i: "" for i in range(50)}
+
+
+def test_empty_tables(spark, labels):
+    empty = frame(spark, [])
+    results = [
+        substring_dedup.remove_repeats(empty), language_id.label_documents(empty), minhash_dedup.near_groups(empty),
+        quality_rules.judge(empty, labels), mixing.mix_tokens(empty), quality_classifier.classify(empty, labels),
+        sharding.shard_rows(empty, [1.0]), packing.pack(empty, tokenizer_path(packing.TOKENIZER)), licences.scan(empty),
+        exact_dedup.exact_groups(empty), exact_dedup.drop_copies(empty), minhash_dedup.drop_near_copies(empty), mixing.mix_documents(empty),
+    ]
+    assert [r.count() for r in results] == [0] * len(results)
+
+
+def test_pipeline_stages(spark, docs, tmp_path):
+    path = str(tmp_path)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(pa.table({"doc_id": [5, 6], "quality": [1, 1]})).write.parquet(f"{path}/labels.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES:
+        kept = scratch(stage(spark, kept, path), name)
+        if name != "packing":
+            assert kept.columns == docs.columns
+        if name == "exact_dedup":
+            texts = [(r.text or "").translate(LOWER) for r in kept.collect()]
+            assert len(texts) == len(set(texts))
+        if name == "minhash_dedup":
+            rows_ = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in kept.collect()]
+            _, component = near_brute(rows_, 5)
+            assert all(i is None or c == i for (i, _), c in component.items())
+    same(collected(kept.drop("sequence_id", "offset")), collected(corpus_pipeline.run(spark, path).drop("sequence_id", "offset")))
