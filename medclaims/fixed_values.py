@@ -105,4 +105,3 @@ TEXT_JOB_FAILED = "FAILED: {error}"
 TEXT_PIPELINE_FAILED = "Pipeline FAILED: {error}"
 TEXT_CHECKS_PASSED = "{passed} / {total} checks passed"
 TEXT_CHECKS_FAILED = "QUALITY CHECK FAILED: {error}"
-ERROR_TEXT_LENGTH = 1000

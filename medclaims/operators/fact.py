@@ -3,12 +3,12 @@
 What is computed: segments look up patient, provider and diagnosis keys (LEFT,
 one row per matching patient row), then group by claim and the three keys.
 
-How: the roll-up comes first. Within one claim, segments with the same three
-*ids* get the same keys, and different ids get different keys, except that all
-ids without a dimension row share the key NULL. So ids without a dimension row
-are blanked, segments are rolled up by claim and ids, and only the claims, a
-fraction of the segments, go through the look-ups. A beneficiary with several
-patient rows multiplies claims after the roll-up instead of segments before it.
+How: the roll-up comes first, straight from the scan, by claim and the three *ids*; only
+the claims, a fraction of the segments, look up their keys. Ids and keys split
+a claim alike, except that all ids without a dimension row share the key NULL. So only claims
+with such an id can have come out in too many rows; the segments of those claims are taken
+again, in the order of what is computed. A beneficiary with several patient rows
+multiplies claims after the roll-up instead of segments before it.
 """
 
 from collections.abc import Sequence
@@ -25,6 +25,7 @@ from medclaims.sources.tables import TableStore
 
 # column of the claims -> what it identifies
 ID_COLUMNS = {"DESYNPUF_ID": "patient", "PRVDR_NUM": "provider", "ICD9_DGNS_CD_1": "diagnosis"}
+KEY_COLUMNS = ["patient_key", "provider_key", "primary_diagnosis_key"]
 
 # fact column -> raw column; each is the MAX over the segments (A2, A3)
 INPATIENT_MEASURES = {
@@ -94,49 +95,14 @@ class Dimensions:
         }
 
 
-def unmatched_ids(claim_tables: Sequence[DataFrame], dims: Dimensions, store: TableStore) -> DataFrame:
-    """Ids in the claims that have no dimension row, as (kind, id) pairs.
-
-    One narrow scan per table; ids are made distinct before they are shuffled.
-    Normally few or none. The result is written, so that Spark knows its size.
-    """
-    pairs = [
-        F.struct(F.lit(kind).alias("kind"), F.col(column).alias("id"))
-        for column, kind in ID_COLUMNS.items()
-    ]
-    used = [claims.select(F.inline(F.array(*pairs))) for claims in claim_tables]
-    known = [
-        dims.keys[column].select(F.lit(kind).alias("kind"), F.col(column).alias("id"))
-        for column, kind in ID_COLUMNS.items()
-    ]
-    ids = reduce(DataFrame.unionByName, used).where(F.col("id").isNotNull()).distinct()
-    return store.scratch(
-        "unmatched_ids", ids.join(reduce(DataFrame.unionByName, known), ["kind", "id"], "left_anti")
-    )
-
-
-def blank_unmatched(claims: DataFrame, unmatched: DataFrame) -> DataFrame:
-    """Set ids without a dimension row to NULL, as their look-up would."""
-    marked = claims
-    for column, kind in ID_COLUMNS.items():
-        missing = unmatched.where(F.col("kind") == kind).select(
-            F.col("id").alias(column), F.lit(True).alias(f"no_{kind}")
-        )
-        marked = marked.join(missing, column, "left")
-    blanked = {
-        column: F.when(F.col(f"no_{kind}").isNull(), F.col(column)) for column, kind in ID_COLUMNS.items()
-    }
-    return marked.select(*[blanked.get(c, F.col(c)).alias(c) for c in claims.columns])
-
-
-def roll_up(claims: DataFrame, measures: dict[str, str]) -> DataFrame:
-    """A2, A3: one row per claim and ids; MAX of each measure, distinct segments.
+def roll_up(claims: DataFrame, measures: dict[str, str], by: Sequence[str]) -> DataFrame:
+    """A2, A3: one row per claim and ids, or keys; MAX of each measure, distinct segments.
 
     Spark plans the single DISTINCT by shuffling on (claim, ids, segment) and
     combining again before it shuffles on (claim, ids), so one claim with very
     many segments is still spread over tasks.
     """
-    return claims.groupBy("CLM_ID", *ID_COLUMNS).agg(
+    return claims.groupBy("CLM_ID", *by).agg(
         *[F.max(raw).alias(name) for name, raw in measures.items()],
         F.countDistinct("SEGMENT").alias("segment_count"),
     )
@@ -149,33 +115,54 @@ def look_up_keys(claims: DataFrame, dims: Dimensions) -> DataFrame:
     return claims
 
 
+def _by_claim(rows: DataFrame, claims: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join; a NULL claim id is a claim like any other."""
+    return rows.join(claims.select(F.col("CLM_ID").alias("_claim")), F.col("CLM_ID").eqNullSafe(F.col("_claim")), how)
+
+
+def split_claims(rows: DataFrame) -> DataFrame:
+    """Claims of several rows, one of which has an id without a key: few or none."""
+    unmatched = reduce(
+        lambda a, b: a | b, [F.col(i).isNotNull() & F.col(k).isNull() for i, k in zip(ID_COLUMNS, KEY_COLUMNS)]
+    )
+    some = rows.where(unmatched).select("CLM_ID").distinct()
+    return _by_claim(rows.select("CLM_ID"), some, "left_semi").groupBy("CLM_ID").count().where("count > 1").select("CLM_ID")
+
+
 def _fact_rows(
-    claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions, unmatched: DataFrame
+    claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions, store: TableStore
 ) -> DataFrame:
     segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
-    rows = look_up_keys(roll_up(blank_unmatched(segments, unmatched), measures), dims)
-    values = {name: F.col(name) for name in rows.columns}
+    columns = ["CLM_ID", *KEY_COLUMNS, *measures, "segment_count"]
+    # stored: the keys of the fact sample it, and the split claims are told from it
+    rows = store.scratch("claim_rows", look_up_keys(roll_up(segments, measures, list(ID_COLUMNS)), dims))
+    split = store.scratch("split_claims", split_claims(rows))
+    rows = rows.select(*columns)
+    if not split.isEmpty():
+        again = look_up_keys(_by_claim(segments, split, "left_semi"), dims)
+        whole = _by_claim(rows, split, "left_anti")
+        rows = whole.unionByName(roll_up(again, measures, KEY_COLUMNS).select(*columns))
+    values = {name: F.col(name) for name in columns}
     values |= {"claim_id": F.col("CLM_ID"), "claim_type": F.lit(claim_type)}
     return rows.select(
         *[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FACT_SCHEMA.fields]
     )
 
 
-def fact_inpatient(inpatient: DataFrame, dims: Dimensions, unmatched: DataFrame) -> DataFrame:
+def fact_inpatient(inpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
     """Fact rows of inpatient claims, without claim_key."""
-    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims, unmatched)
+    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims, store)
 
 
-def fact_outpatient(outpatient: DataFrame, dims: Dimensions, unmatched: DataFrame) -> DataFrame:
+def fact_outpatient(outpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
     """Fact rows of outpatient claims; stay, DRG, admission, coinsurance and
     physicians stay NULL."""
-    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims, unmatched)
+    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims, store)
 
 
 def fact_claims(
     inpatient: DataFrame, outpatient: DataFrame, dims: Dimensions, store: TableStore
 ) -> DataFrame:
     """Both sides in one fact with its surrogate key."""
-    unmatched = unmatched_ids([inpatient, outpatient], dims, store)
-    rows = fact_inpatient(inpatient, dims, unmatched).unionByName(fact_outpatient(outpatient, dims, unmatched))
+    rows = fact_inpatient(inpatient, dims, store).unionByName(fact_outpatient(outpatient, dims, store))
     return with_surrogate_key(rows, "claim_key", FACT_ORDER, store)

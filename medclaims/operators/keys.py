@@ -1,6 +1,7 @@
 """Dense numbering at scale: surrogate keys (K1) and ranks."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,9 +11,6 @@ from medclaims.sources.tables import TableStore
 # monotonically_increasing_id holds the partition above, the row below this bit
 _ROW_BITS = 33
 
-# Up to this many rows a rank may be taken by one window task.
-WINDOW_RANK_ROWS = 1_000_000
-
 
 def with_surrogate_key(
     df: DataFrame, name: str, order_by: Sequence[str | Column], store: TableStore
@@ -46,31 +44,18 @@ def with_surrogate_key(
 
 
 def with_rank(
-    df: DataFrame,
-    name: str,
-    order_by: Sequence[Column],
-    row_bound: int,
-    store: TableStore,
-    partition_by: Sequence[str] = (),
-    window_rows: int | None = None,
+    df: DataFrame, name: str, order_by: Sequence[Column], store: TableStore, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """ROW_NUMBER as column ``name``.
+    """ROW_NUMBER as column ``name``, numbered as in K1 at every size.
 
-    ``row_bound`` is a known upper bound on the rows of ``df``. Small frames use
-    a plain window; beyond ``window_rows`` the numbering of K1 takes over, so no
-    task holds a whole partition. ``order_by`` must be a total order. There must
-    be few distinct ``partition_by`` values (claim types).
+    Rows are numbered in (group, ``order_by``) order, and the number of a group's
+    first row is taken off. NULL is a group like any other. ``order_by`` must be a total order.
     """
-    if row_bound <= (WINDOW_RANK_ROWS if window_rows is None else window_rows):
-        window = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(window))
     groups = [F.col(c).asc_nulls_first() for c in partition_by]
     numbered = with_surrogate_key(df, "_number", [*groups, *order_by], store)
-    if not partition_by:
-        ranked = numbered.withColumn(name, F.col("_number"))
-    else:
-        firsts = numbered.groupBy(*partition_by).agg(F.min("_number").alias("_first"))
-        ranked = numbered.join(F.broadcast(firsts), list(partition_by)).withColumn(
-            name, F.col("_number") - F.col("_first") + 1
-        )
-    return ranked.withColumn(name, F.col(name).cast("int")).select(*df.columns, name)
+    first = F.lit(1)
+    if partition_by:
+        firsts = numbered.groupBy(*[F.col(c).alias(f"_{c}") for c in partition_by]).agg(F.min("_number").alias("_first"))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
+        numbered, first = numbered.join(firsts, same), F.col("_first")
+    return numbered.withColumn(name, (F.col("_number") - first + 1).cast("int")).select(*df.columns, name)

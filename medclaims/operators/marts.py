@@ -76,15 +76,12 @@ def mart_diagnosis_etl(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
     )
 
 
-def mart_diagnosis(
-    fact: DataFrame, diagnoses: DataFrame, store: TableStore, window_rows: int | None = None
-) -> DataFrame:
+def mart_diagnosis(fact: DataFrame, diagnoses: DataFrame, store: TableStore) -> DataFrame:
     """Ranked by cost and by volume within the claim type; ties by code."""
     mart = mart_diagnosis_etl(fact, diagnoses)
-    bound = 2 * diagnoses.count()
     for name, measure in (("rank_by_cost", "total_paid"), ("rank_by_volume", "claim_count")):
         order = [_descending(measure), F.col("icd9_code").asc()]
-        mart = with_rank(mart, name, order, bound, store, ["claim_type"], window_rows)
+        mart = with_rank(mart, name, order, store, ["claim_type"])
     return mart
 
 
@@ -110,13 +107,10 @@ def mart_provider_etl(fact: DataFrame, providers: DataFrame) -> DataFrame:
     return grouped.join(names, "provider_key").select("provider_id", "provider_type", *grouped.columns[1:])
 
 
-def mart_provider(
-    fact: DataFrame, providers: DataFrame, store: TableStore, window_rows: int | None = None
-) -> DataFrame:
+def mart_provider(fact: DataFrame, providers: DataFrame, store: TableStore) -> DataFrame:
     """Ranked by revenue and by volume over all providers; ties by provider."""
     mart = mart_provider_etl(fact, providers)
-    bound = providers.count()
     for name, measure in (("revenue_rank", "total_revenue"), ("volume_rank", "total_claims")):
         order = [_descending(measure), F.col("provider_id").asc()]
-        mart = with_rank(mart, name, order, bound, store, (), window_rows)
+        mart = with_rank(mart, name, order, store)
     return mart

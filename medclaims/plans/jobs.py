@@ -73,11 +73,11 @@ def _run_logged(
     start = ctx.clock()
     _log_transition(ctx, job, start, V.RUNNING)
     try:
-        rows, counts = work()
+        with ctx.store.scope():
+            rows, counts = work()
     except Exception as error:
-        ctx.store.clear_scratch()
         _log_transition(
-            ctx, job, start, V.FAILED, end_time=ctx.clock(), error_message=str(error)[: V.ERROR_TEXT_LENGTH]
+            ctx, job, start, V.FAILED, end_time=ctx.clock(), error_message=str(error)
         )
         if strict:
             raise

@@ -55,12 +55,12 @@ def _claims(layers: DerivedLayers) -> tuple[DataFrame, DataFrame]:
 
 def _fact_inpatient(layers: DerivedLayers) -> DataFrame:
     claims, keys = layers.table(star.INPATIENT_CLAIMS), layers.dimensions()
-    return fact.fact_inpatient(claims, keys, fact.unmatched_ids([claims], keys, layers.store))
+    return fact.fact_inpatient(claims, keys, layers.store)
 
 
 def _fact_outpatient(layers: DerivedLayers) -> DataFrame:
     claims, keys = layers.table(star.OUTPATIENT_CLAIMS), layers.dimensions()
-    return fact.fact_outpatient(claims, keys, fact.unmatched_ids([claims], keys, layers.store))
+    return fact.fact_outpatient(claims, keys, layers.store)
 
 
 def _monthly(layers: DerivedLayers) -> DataFrame:

@@ -53,8 +53,9 @@ class Layers:
 
     def build(self, name: str) -> None:
         """(Re)write one table from the layer below."""
-        df = self.builders()[name]()
-        self._built[name] = self.store.replace(name, df, PARTITIONED_BY.get(name, ()))
+        with self.store.scope():
+            df = self.builders()[name]()
+            self._built[name] = self.store.replace(name, df, PARTITIONED_BY.get(name, ()))
 
     def builders(self) -> dict[str, Callable[[], DataFrame]]:
         table = self.table
@@ -107,9 +108,8 @@ def _input_version(store: TableStore, sf_dir: str) -> str:
     """Changes when an input table is rewritten: sizes and times from the file system."""
     parts = [sf_dir]
     for name in ("customer", "orders", "lineitem"):
-        fs, path = store._fs(f"{sf_dir}/{name}.parquet")
-        status = fs.getFileStatus(path)
-        parts.append(f"{fs.getContentSummary(path).getLength()}:{status.getModificationTime()}")
+        size, time = store.version_of(f"{sf_dir}/{name}.parquet")
+        parts.append(f"{size}:{time}")
     return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -117,3 +117,8 @@ def derived_layers(spark: SparkSession, sf_dir: str) -> DerivedLayers:
     """Layers over one data folder, kept in the shared folder for this application."""
     root = TableStore(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
     return DerivedLayers(TableStore(spark, root.path(_input_version(root, sf_dir))), sf_dir)
+
+
+def remove_layers(spark: SparkSession) -> None:
+    """Delete what this application's queries stored, once their results are read."""
+    TableStore(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}").remove()

@@ -70,11 +70,12 @@ def read_beneficiary(
 ) -> tuple[DataFrame, DataFrame]:
     """The yearly beneficiary files as one table.
 
-    ``src_year`` is the first year (19xx/20xx) in the file name, for the
+    ``src_year`` is the first year (19xx/20xx) in the file name that no digit or
+    hex letter touches, as in generated part names; for the
     one-row-per-beneficiary variant of the patient dimension.
     """
     good, rejected = load_csv(spark, paths, schemas.BENEFICIARY, on_error, observed)
-    year = F.try_to_number(F.regexp_extract(SOURCE_FILE, r"((?:19|20)\d{2})", 1), F.lit("9999"))
+    year = F.try_to_number(F.regexp_extract(SOURCE_FILE, r"(?<![0-9A-Fa-f])((?:19|20)\d{2})(?![0-9A-Fa-f])", 1), F.lit("9999"))
     return good.withColumn("src_year", year.cast("int")).drop(SOURCE_FILE), rejected
 
 

@@ -1,7 +1,8 @@
 """Parquet tables under one root folder: read, replace, append."""
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -44,7 +45,6 @@ class TableStore:
         job leaves it as it was, and ``df`` may read the table it replaces.
         """
         self.put(name, lambda path: df.write.partitionBy(*partition_by).parquet(path))
-        self.clear_scratch()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def put(self, name: str, write: Callable[[str], None]) -> None:
@@ -78,13 +78,34 @@ class TableStore:
         """Write an intermediate result and read it back.
 
         The written copy has a known size, survives lost executors and is not
-        computed twice. It goes away once the next table is in place.
+        computed twice. It goes away with the scope it was written in, or by
+        ``clear_scratch``.
         """
         path = f"{self.root}/_scratch/{label}-{uuid.uuid4().hex}"
         df.write.parquet(path)
         self._scratch.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextmanager
+    def scope(self) -> Iterator[None]:
+        """Scratch written inside goes away at the end; what was there before stays."""
+        outer, self._scratch = self._scratch, []
+        try:
+            yield
+        finally:
+            self.clear_scratch()
+            self._scratch = outer
+
+    def version_of(self, path: str) -> tuple[int, int]:
+        """Size and modification time of a file or folder anywhere."""
+        fs, target = self._fs(path)
+        return fs.getContentSummary(target).getLength(), fs.getFileStatus(target).getModificationTime()
+
+    def remove(self) -> None:
+        """Delete all tables of the store."""
+        fs, path = self._fs(self.root)
+        fs.delete(path, True)
+
     def clear_scratch(self) -> None:
         while self._scratch:
             fs, path = self._fs(self._scratch.pop())

@@ -73,6 +73,12 @@ def test_yearly_beneficiary_files_become_one_table(spark, tmp_path):
     assert {r.DESYNPUF_ID for r in good.collect()} == {"0001"}
 
 
+def test_year_is_not_taken_from_a_generated_part_name(spark, tmp_path):
+    fields = ["0001", "19400101", "", "1", "5", "0", "05", "007"] + ["12"] * 3 + ["2"] * 11 + ["1.50"] * 9
+    path = _write(tmp_path, "part-00000-12019a8b-c000.csv", [",".join(fields)], schemas.BENEFICIARY.names)
+    assert [r.src_year for r in csv_load.read_beneficiary(spark, [path])[0].collect()] == [None]
+
+
 def test_file_without_a_year(spark, tmp_path):
     fields = ["0001"] + [""] * (len(schemas.BENEFICIARY.names) - 1)
     path = _write(tmp_path, "people.csv", [",".join(fields)], schemas.BENEFICIARY.names)

@@ -11,6 +11,9 @@ from medclaims.plans import jobs, star
 from medclaims.sources.tables import TableStore
 from tests.conftest import Clock
 
+# the log keeps a long cause whole
+LONG_TEXT = "no disk " * 625
+
 
 def _segments():
     return [
@@ -82,7 +85,7 @@ def test_refresh_variants_change_the_schema(ctx):
 
 def _break(monkeypatch):
     def boom(*args):
-        raise RuntimeError("no disk")
+        raise RuntimeError(LONG_TEXT)
 
     monkeypatch.setattr(fact, "fact_claims", boom)
 
@@ -96,7 +99,7 @@ def test_a_failing_job_is_logged_and_hidden(ctx, monkeypatch):
         ("sp_load_dim_patients", "SUCCESS", 3), ("sp_load_fact_claims", "FAILED", None), ("sp_refresh_marts", "SUCCESS", 3)
     ]
     failed = ctx.job_log.where(F.col("status") == "FAILED").first()
-    assert failed.error_message == "no disk" and failed.end_time is not None
+    assert failed.error_message == LONG_TEXT and failed.end_time is not None
     # the old fact is still there, whole
     assert sorted(map(tuple, ctx.store.read(star.FACT_CLAIMS).collect()), key=str) == before
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from medclaims.operators.keys import with_rank, with_surrogate_key
@@ -46,15 +47,27 @@ def test_surrogate_key_of_nothing(spark, store):
     assert with_surrogate_key(df, "key", ["a"], store).count() == 0
 
 
-def test_rank_paths_agree_with_ties_and_nulls(spark, store):
+def test_ranks_with_ties_and_null_groups(spark, store):
     rng = random.Random(3)
-    rows = [(f"p{i:04}", rng.choice(["x", "y"]), rng.choice([None, 1, 2, 3])) for i in range(600)]
+    rows = [(f"p{i:04}", rng.choice(["x", "y", None]), rng.choice([None, 1, 2, 3])) for i in range(600)]
     df = spark.createDataFrame(rows, "id string, kind string, total int")
     order = [F.col("total").desc_nulls_first(), F.col("id").asc()]
     for groups in ([], ["kind"]):
-        small = with_rank(df, "rank", order, 600, store, groups)
-        large = with_rank(df, "rank", order, 600, store, groups, window_rows=0)
-        assert small.schema.simpleString() == large.schema.simpleString()
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-        first = min((r for r in small.collect()), key=lambda r: (r.kind if groups else "", r["rank"]))
-        assert first.total is None and first["rank"] == 1
+        window = Window.partitionBy(*groups).orderBy(*order)
+        expected = df.withColumn("rank", F.row_number().over(window))
+        ranked = with_rank(df, "rank", order, store, groups)
+        assert ranked.schema.simpleString() == expected.schema.simpleString()
+        assert sorted(map(repr, map(tuple, ranked.collect()))) == sorted(map(repr, map(tuple, expected.collect())))
+
+
+def test_keyed_frames_outlive_another_table(spark, store):
+    df = spark.createDataFrame(_rows(200, 5), "a string, b int, c int")
+    first, second = (with_surrogate_key(df, "key", ["a", "b", "c"], store) for _ in range(2))
+    store.replace("FIRST", first)
+    assert second.count() == 200
+    with store.scope():
+        inner = with_surrogate_key(df, "key", ["a", "b", "c"], store)
+        assert inner.count() == 200
+    assert second.count() == 200
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        inner.count()

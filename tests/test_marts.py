@@ -60,10 +60,9 @@ def test_monthly(raw, dims):
     assert len(slim.columns) == 11 and "total_utilization_days" not in slim.columns
 
 
-@pytest.mark.parametrize("window_rows", [None, 0])
-def test_diagnosis_ranks(raw, dims, store, window_rows):
+def test_diagnosis_ranks(raw, dims, store):
     _, diagnoses, _ = dims
-    rows = marts.mart_diagnosis(raw.fact(FACT), diagnoses, store, window_rows).collect()
+    rows = marts.mart_diagnosis(raw.fact(FACT), diagnoses, store).collect()
     got = {(r.claim_type, r.icd9_code): (r.claim_count, r.rank_by_cost, r.rank_by_volume) for r in rows}
     assert got == {
         ("Inpatient", "4280"): (2, 2, 1),
@@ -74,23 +73,21 @@ def test_diagnosis_ranks(raw, dims, store, window_rows):
     }
 
 
-@pytest.mark.parametrize("window_rows", [None, 0])
-def test_unknown_totals_rank_first(raw, dims, store, window_rows):
+def test_unknown_totals_rank_first(raw, dims, store):
     _, diagnoses, providers = dims
     fact = raw.fact(_claims(
         ("Inpatient", 1, 1, 1, 20080101, D("9.00"), 1), ("Inpatient", 1, 2, 2, 20080101, None, 1)
     ))
-    top = {r.icd9_code: r.rank_by_cost for r in marts.mart_diagnosis(fact, diagnoses, store, window_rows).collect()}
+    top = {r.icd9_code: r.rank_by_cost for r in marts.mart_diagnosis(fact, diagnoses, store).collect()}
     assert top == {"486": 1, "4280": 2}
     revenue = {r.provider_id: r.revenue_rank
-               for r in marts.mart_provider(fact, providers, store, window_rows).collect()}
+               for r in marts.mart_provider(fact, providers, store).collect()}
     assert revenue == {"000002": 1, "000001": 2}
 
 
-@pytest.mark.parametrize("window_rows", [None, 0])
-def test_provider(raw, dims, store, window_rows):
+def test_provider(raw, dims, store):
     _, _, providers = dims
-    rows = marts.mart_provider(raw.fact(FACT), providers, store, window_rows).collect()
+    rows = marts.mart_provider(raw.fact(FACT), providers, store).collect()
     got = {r.provider_id: r for r in rows}
     # inpatient only, no claims without a provider
     assert {p: r.total_claims for p, r in got.items()} == {"000001": 2, "000002": 2, "000003": 1}

@@ -49,20 +49,18 @@ def test_providers_take_one_shuffle_and_no_join(layers):
 
 
 def test_roll_up_spreads_and_precedes_the_look_ups(spark, layers):
-    ip, op, keys = _tables(layers)
-    unmatched = fact.unmatched_ids([ip, op], keys, layers.store)
+    _, op, keys = _tables(layers)
+    segments = op.select("CLM_ID", "SEGMENT", *fact.ID_COLUMNS, *fact.OUTPATIENT_MEASURES.values())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(fact.fact_outpatient(op, keys, unmatched))
-        # nothing depends on a broadcast
-        assert "BroadcastHashJoin" not in text and "SinglePartition" not in text
+        text = plan(fact.look_up_keys(fact.roll_up(segments, fact.OUTPATIENT_MEASURES, list(fact.ID_COLUMNS)), keys))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    text = plan(fact.fact_outpatient(op, keys, unmatched))
-    assert "SinglePartition" not in text and "Expand" not in text
-    # the patient look-up is above the aggregation, which knows ids only
-    assert text.index("patient_key") < text.index("HashAggregate")
-    assert not re.search(r"HashAggregate\(keys=\[[^]]*patient_key", text)
+    # nothing depends on a broadcast
+    assert "BroadcastHashJoin" not in text and "SinglePartition" not in text and "Expand" not in text
+    # three joins, all above the first aggregation
+    above, below = text.split("HashAggregate", 1)
+    assert above.count("SortMergeJoin") == 3 and "Join" not in below
     # the first shuffle is on claim, ids and segment
     assert re.search(r"hashpartitioning\(CLM_ID#\S+, DESYNPUF_ID#\S+, PRVDR_NUM#\S+, ICD9_DGNS_CD_1#\S+, SEGMENT#", text)
 
@@ -92,7 +90,7 @@ def test_marts_do_not_multiply_rows(layers):
 
 def test_large_ranks_take_no_single_task(layers):
     text = plan(
-        marts.mart_provider(layers.table(star.FACT_CLAIMS), layers.table(star.DIM_PROVIDERS), layers.store, window_rows=0)
+        marts.mart_provider(layers.table(star.FACT_CLAIMS), layers.table(star.DIM_PROVIDERS), layers.store)
     )
     # only the partition sizes, one row each, are brought together
     windows = re.findall(r"Window \[.*", text)
