@@ -68,13 +68,13 @@ ORACLE_SQL: dict[str, str] = {
         WITH words AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
         ), windows AS (
-            SELECT doc_id, unnest(range(1, len(w) - 33)) AS at, w FROM words WHERE len(w) >= 35
+            SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM words WHERE len(w) >= 35
         ), phrases AS (
-            SELECT doc_id, at, array_to_string(w[at : at + 34], ' ') AS phrase FROM windows
+            SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS phrase FROM windows
         ), repeated AS (
-            SELECT doc_id, at FROM phrases QUALIFY count(*) OVER (PARTITION BY phrase) > 1
+            SELECT doc_id, i FROM phrases QUALIFY count(*) OVER (PARTITION BY phrase) > 1
         ), gone AS (
-            SELECT DISTINCT doc_id, unnest(range(at, at + 35)) AS i FROM repeated
+            SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated
         ), numbered AS (
             SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words
         ), kept AS (
