@@ -72,13 +72,15 @@ def dim_patients(beneficiary: DataFrame, store: TableStore, dedup: str = "litera
     ``dedup="literal"`` keeps every distinct row (A10), so a beneficiary whose
     yearly values differ has several keys. ``dedup="latest"`` keeps one row per
     beneficiary, that of the highest ``src_year``: a max over a struct, which
-    combines before the shuffle, where a window would gather whole groups.
+    combines before the shuffle, where a window would gather whole groups. A row
+    without a year is an error then, since any of them could be the latest.
     """
     attributes = patient_attributes(beneficiary)
     if dedup == "literal":
         patients = beneficiary.select(*attributes).distinct()
     elif dedup == "latest":
-        rows = beneficiary.select(*attributes, "src_year")
+        no_year = F.raise_error(F.lit("a beneficiary row has no src_year: give the years of its files"))
+        rows = beneficiary.select(*attributes, F.coalesce("src_year", no_year.cast("int")).alias("src_year"))
         names = [c for c in rows.columns if c not in ("patient_id", "src_year")]
         newest = rows.groupBy("patient_id").agg(F.max(F.struct("src_year", *names)).alias("newest"))
         patients = newest.select("patient_id", *[f"newest.{name}" for name in names])

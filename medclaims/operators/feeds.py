@@ -16,19 +16,41 @@ def filter_category(df: DataFrame, categories: Collection[str]) -> DataFrame:
     return df.where(F.col("diagnosis_category").isin(*categories))
 
 
-def kpi_cards(monthly: DataFrame, fact: DataFrame, dates: DataFrame) -> DataFrame:
+def _of_categories(
+    monthly: DataFrame, fact: DataFrame, diagnoses: DataFrame | None, categories: Collection[str] | None
+) -> tuple[DataFrame, DataFrame]:
+    """Mart rows and claims of the same categories, so that sums and exact figures agree."""
+    if categories is None:
+        return monthly, fact
+    if diagnoses is None:
+        raise ValueError("categories need the diagnoses")
+    keys = filter_category(diagnoses, categories).select(F.col("diagnosis_key").alias("primary_diagnosis_key"))
+    return filter_category(monthly, categories), fact.join(keys, "primary_diagnosis_key", "left_semi")
+
+
+def kpi_cards(
+    monthly: DataFrame,
+    fact: DataFrame,
+    dates: DataFrame,
+    diagnoses: DataFrame | None = None,
+    categories: Collection[str] | None = None,
+) -> DataFrame:
     """B1: the headline figures in one row.
 
     Sums add up over the monthly mart, and paid per claim is their ratio.
     Patients and stays do not add up over groups: ``*_sum`` and ``*_mean`` are
-    what the mart alone gives, ``*_exact`` come from the fact's claims that have
-    a calendar day, the ones in the mart.
+    what the mart alone gives (a mean of its rows, each to six decimals, so that
+    their order does not matter), ``*_exact`` come from the fact's claims that have
+    a calendar day, the ones in the mart. ``categories`` (B6) restrict both.
     """
+    monthly, fact = _of_categories(monthly, fact, diagnoses, categories)
+    stays = F.col("avg_length_of_stay").cast("decimal(18,6)")
     cards = monthly.agg(
         F.sum("total_paid").cast(TOTAL).alias("total_paid"),
         F.sum("claim_count").alias("claim_count"),
         F.sum("unique_patients").alias("unique_patients_sum"),
         measures.safe_ratio(F.sum("total_paid").cast("double"), F.sum("claim_count")).alias("avg_paid_per_claim"),
+        measures.safe_ratio(F.sum(stays).cast("double"), F.count(stays)).alias("avg_length_of_stay_mean"),
     )
     calendar = F.broadcast(dates.select(F.col("date_key").alias("claim_from_date_key")))
     exact = fact.join(calendar, "claim_from_date_key").agg(
@@ -63,13 +85,20 @@ def cost_vs_utilization(mart: DataFrame) -> DataFrame:
 
 
 def monthly_trend(
-    monthly: DataFrame, fact: DataFrame, dates: DataFrame, claim_type: str = V.INPATIENT
+    monthly: DataFrame,
+    fact: DataFrame,
+    dates: DataFrame,
+    claim_type: str = V.INPATIENT,
+    diagnoses: DataFrame | None = None,
+    categories: Collection[str] | None = None,
 ) -> DataFrame:
     """Cost, volume and stay per month of one claim type.
 
     Cost, claims and days add up over the categories of the mart. The mean of
     the known stays does not, so ``avg_length_of_stay_exact`` comes from the fact.
+    ``categories`` (B6) restrict both.
     """
+    monthly, fact = _of_categories(monthly, fact, diagnoses, categories)
     trend = (
         monthly.where(F.col("claim_type") == claim_type)
         .groupBy("month_date")

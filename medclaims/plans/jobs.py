@@ -26,10 +26,14 @@ def utc_now() -> datetime:
 
 @dataclass
 class JobContext:
-    """The tables a job works on, and its clock."""
+    """The tables a job works on, its clock, and where its logs are if not beside the tables."""
 
     store: TableStore
     clock: Callable[[], datetime] = utc_now
+    logs: TableStore | None = None
+
+    def __post_init__(self):
+        self.logs = self.logs or self.store
 
     @property
     def layers(self) -> Layers:
@@ -37,11 +41,11 @@ class JobContext:
 
     @property
     def job_log(self) -> DataFrame:
-        return self.store.read(ETL_JOB_LOG, schemas.ETL_JOB_LOG)
+        return self.logs.read(ETL_JOB_LOG, schemas.ETL_JOB_LOG)
 
     @property
     def quality_log(self) -> DataFrame:
-        return self.store.read(DATA_QUALITY_LOG, schemas.DATA_QUALITY_LOG)
+        return self.logs.read(DATA_QUALITY_LOG, schemas.DATA_QUALITY_LOG)
 
 
 @dataclass
@@ -63,7 +67,7 @@ def _log_transition(ctx: JobContext, job: str, start: datetime, status: str, **v
     row = {"job_name": job, "start_time": start, "status": status, **values}
     row["log_id"] = _next_id(ctx.job_log, "log_id")
     record = tuple(row.get(name) for name in schemas.ETL_JOB_LOG.names)
-    ctx.store.append(ETL_JOB_LOG, ctx.store.spark.createDataFrame([record], schemas.ETL_JOB_LOG).coalesce(1))
+    ctx.logs.append(ETL_JOB_LOG, ctx.store.spark.createDataFrame([record], schemas.ETL_JOB_LOG).coalesce(1))
 
 
 def _run_logged(
@@ -146,8 +150,10 @@ def refresh_marts(ctx: JobContext, variant: str = "full", strict: bool = False)
     return _run_logged(ctx, V.JOB_MARTS, work, V.TEXT_MARTS_REFRESHED, strict)
 
 
-def run_pipeline(ctx: JobContext, strict: bool = False) -> JobResult:
-    """Patients, fact, marts, in this order.
+def run_pipeline(
+    ctx: JobContext, strict: bool = False, dedup: str = "literal", variant: str = "full"
+) -> JobResult:
+    """Patients (by ``dedup``), fact, marts (in ``variant``), in this order.
 
     Each job turns its failure into text, so by default the pipeline goes on and
     reports success, as the source system does. ``strict`` stops at the first
@@ -155,8 +161,9 @@ def run_pipeline(ctx: JobContext, strict: bool = False) -> JobResult:
     """
     results = {}
     try:
-        for job in (load_dim_patients, load_fact_claims, refresh_marts):
-            results[job.__name__] = job(ctx, strict=strict)
+        results[V.JOB_PATIENTS] = load_dim_patients(ctx, dedup, strict)
+        results[V.JOB_FACT] = load_fact_claims(ctx, strict)
+        results[V.JOB_MARTS] = refresh_marts(ctx, variant, strict)
     except Exception as error:
         return JobResult(V.TEXT_PIPELINE_FAILED.format(error=error), ok=False)
     return JobResult(V.TEXT_PIPELINE_DONE, ok=all(r.ok for r in results.values()))
@@ -175,7 +182,7 @@ def run_quality_checks(ctx: JobContext, by_run: bool = False) -> JobResult:
             ctx.store.read(star.FACT_CLAIMS), ctx.store.read(star.DIM_PATIENTS)
         )
         rows = quality.log_rows(results, now, _next_id(ctx.quality_log, "check_id"), run_id)
-        ctx.store.append(DATA_QUALITY_LOG, rows.coalesce(1))
+        ctx.logs.append(DATA_QUALITY_LOG, rows.coalesce(1))
         summary = quality.quality_summary(ctx.quality_log, ctx.clock(), run_id if by_run else None).first()
     except Exception as error:
         return JobResult(V.TEXT_CHECKS_FAILED.format(error=error), ok=False)
@@ -189,7 +196,7 @@ def run_quality_checks(ctx: JobContext, by_run: bool = False) -> JobResult:
 
 def load_raw(
     ctx: JobContext,
-    beneficiary: Sequence[str],
+    beneficiary: csv_load.Paths,
     inpatient: Sequence[str],
     outpatient: Sequence[str],
     on_error: str = "continue",
@@ -216,8 +223,8 @@ def load_raw(
     return counts
 
 
-def build_all(ctx: JobContext, names: list[str] | None = None) -> None:
+def build_all(ctx: JobContext, names: list[str] | None = None, dedup: str = "literal") -> None:
     """First build of the star schema and marts over loaded raw tables."""
-    layers = ctx.layers
+    layers = Layers(ctx.store, dedup)
     for name in names or [*star.STAR_TABLES, *star.MART_TABLES]:
         layers.build(name)

@@ -1,6 +1,7 @@
 """The registered queries: every operator over the layers of one data folder."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,10 +9,10 @@ from pyspark.sql import types as T
 
 from medclaims import fixed_values as V
 from medclaims.operators import audit, dims, fact, feeds, joblog, marts, quality
-from medclaims.plans import star
+from medclaims.plans import job_runs, star
 from medclaims.plans.star import DerivedLayers, derived_layers
 from medclaims.sources import csv_load, event_logs
-from medclaims.sources.csv_copies import csv_copy
+from medclaims.sources.csv_copies import FAULTS, csv_copy
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,12 +89,40 @@ def _from_csv(layers: DerivedLayers, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _csv_good(name: str) -> Query:
-    # the copies carry no year in their file names
-    return _over_layers(lambda layers: _from_csv(layers, name)[0].drop("src_year"))
+    return _over_layers(lambda layers: _from_csv(layers, name)[0])
 
 
 def _csv_rejected(layers: DerivedLayers) -> DataFrame:
-    return audit.row_counts({name: _from_csv(layers, name)[1] for name in star.RAW_TABLES})
+    """The rejected rows of all copies with the text that made them unfit."""
+    tell_apart = {
+        star.BENEFICIARY_SUMMARY: ("DESYNPUF_ID", csv_load.SOURCE_YEAR),
+        star.INPATIENT_CLAIMS: ("CLM_ID", "SEGMENT"),
+        star.OUTPATIENT_CLAIMS: ("CLM_ID", "SEGMENT"),
+    }
+    parts = [
+        _from_csv(layers, name)[1].select(
+            F.lit(name).alias("table_name"), F.col(row).alias("row_id"), F.col(part).cast("string").alias("part_id"),
+            F.lit(FAULTS[name][0]).alias("faulty_column"), F.col(FAULTS[name][0]).alias("faulty_text"),
+        )
+        for name, (row, part) in tell_apart.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _latest(name: str) -> Query:
+    return _over_layers(lambda layers: star.LatestLayers(layers).table(name))
+
+
+CATEGORIES = ["Circulatory System", "Endocrine/Metabolic"]
+
+
+def _feed(feed: Callable[..., DataFrame], categories: list[str] | None = None) -> Query:
+    names = [star.MART_MONTHLY, star.FACT_CLAIMS, star.DIM_DATE]
+    return _over_layers(
+        lambda layers: feed(
+            *map(layers.table, names), diagnoses=layers.table(star.DIM_DIAGNOSES), categories=categories
+        )
+    )
 
 
 def _row_counts(names: list[str]) -> Query:
@@ -121,8 +150,10 @@ QUERIES: dict[str, Query] = {
     "fact_inpatient": _over_layers(_fact_inpatient),
     "fact_outpatient": _over_layers(_fact_outpatient),
     "fact_claims": _stored(star.FACT_CLAIMS),
+    "fact_claims_latest": _latest(star.FACT_CLAIMS),
     # marts
     "mart_monthly": _over_layers(_monthly),
+    "mart_monthly_latest": _latest(star.MART_MONTHLY),
     "mart_monthly_etl": _over_layers(lambda layers: marts.mart_monthly_etl(_monthly(layers))),
     "mart_diagnosis": _over_layers(
         lambda layers: marts.mart_diagnosis(
@@ -159,16 +190,18 @@ QUERIES: dict[str, Query] = {
     "dq_history": _over_log(event_logs.quality_log, quality.check_history),
     "etl_log_current": _over_log(event_logs.job_log, joblog.current_state),
     "etl_log_report": _over_log(event_logs.job_log, joblog.log_report),
+    # jobs
+    "job_pipeline_log": _over_layers(job_runs.pipeline_log),
+    "job_failed_log": _over_layers(job_runs.failed_log),
+    "job_table_counts": _over_layers(job_runs.table_counts),
+    "job_quality_log": _over_layers(job_runs.quality_log),
     # row counts
     "row_counts_raw": _row_counts(star.RAW_TABLES),
     "row_counts_star": _row_counts(star.STAR_TABLES),
     "row_counts_marts": _row_counts(star.MART_TABLES),
     # dashboard feeds
-    "kpi_cards": _over_layers(
-        lambda layers: feeds.kpi_cards(
-            layers.table(star.MART_MONTHLY), layers.table(star.FACT_CLAIMS), layers.table(star.DIM_DATE)
-        )
-    ),
+    "kpi_cards": _feed(feeds.kpi_cards),
+    "kpi_cards_by_category": _feed(feeds.kpi_cards, CATEGORIES),
     "top_diagnoses_cost": _over_layers(
         lambda layers: feeds.top_diagnoses(layers.table(star.MART_DIAGNOSIS), 10, "cost")
     ),
@@ -179,14 +212,9 @@ QUERIES: dict[str, Query] = {
     "cost_vs_utilization": _over_layers(
         lambda layers: feeds.cost_vs_utilization(layers.table(star.MART_DIAGNOSIS))
     ),
-    "monthly_trend_inpatient": _over_layers(
-        lambda layers: feeds.monthly_trend(
-            layers.table(star.MART_MONTHLY), layers.table(star.FACT_CLAIMS), layers.table(star.DIM_DATE)
-        )
-    ),
+    "monthly_trend_inpatient": _feed(feeds.monthly_trend),
+    "monthly_trend_by_category": _feed(feeds.monthly_trend, CATEGORIES),
     "category_drilldown": _over_layers(
-        lambda layers: feeds.filter_category(
-            layers.table(star.MART_MONTHLY), ["Circulatory System", "Endocrine/Metabolic"]
-        )
+        lambda layers: feeds.filter_category(layers.table(star.MART_MONTHLY), CATEGORIES)
     ),
 }

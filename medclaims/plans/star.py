@@ -39,8 +39,9 @@ class Layers:
     at most.
     """
 
-    def __init__(self, store: TableStore):
+    def __init__(self, store: TableStore, dedup: str = "literal"):
         self.store = store
+        self.dedup = dedup
         self.spark = store.spark
         self._built: dict[str, DataFrame] = {}
 
@@ -61,7 +62,7 @@ class Layers:
         table = self.table
         return {
             DIM_DATE: lambda: dims.dim_date(self.spark).coalesce(1),
-            DIM_PATIENTS: lambda: dims.dim_patients(table(BENEFICIARY_SUMMARY), self.store),
+            DIM_PATIENTS: lambda: dims.dim_patients(table(BENEFICIARY_SUMMARY), self.store, self.dedup),
             DIM_PROVIDERS: lambda: dims.dim_providers(
                 table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.store
             ),
@@ -104,6 +105,19 @@ class DerivedLayers(Layers):
         }
 
 
+class LatestLayers(Layers):
+    """Layers with one row per beneficiary, hence one per claim; what does not
+    depend on patients is read from ``base``."""
+
+    def __init__(self, base: Layers):
+        super().__init__(TableStore(base.spark, base.store.path("latest")), dedup="latest")
+        self.base = base
+
+    def table(self, name: str) -> DataFrame:
+        own = name in (DIM_PATIENTS, FACT_CLAIMS, *MART_TABLES)
+        return super().table(name) if own else self.base.table(name)
+
+
 def _input_version(store: TableStore, sf_dir: str) -> str:
     """Changes when an input table is rewritten: sizes and times from the file system."""
     parts = [sf_dir]

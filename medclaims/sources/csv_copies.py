@@ -1,5 +1,7 @@
 """Headed CSV copies of the raw tables, some rows made unfit, to load again.
 
+Beneficiaries go to a folder for each year.
+
 Fixed faults: every 50th beneficiary has an over-long county, every 97th
 inpatient claim a payment that is no number, every 89th outpatient claim an
 over-long provider.
@@ -16,7 +18,7 @@ _SCHEMAS = {
     "INPATIENT_CLAIMS": schemas.INPATIENT,
     "OUTPATIENT_CLAIMS": schemas.OUTPATIENT,
 }
-_FAULTS = {
+FAULTS = {
     "BENEFICIARY_SUMMARY": ("BENE_COUNTY_CD", "cast(substr(DESYNPUF_ID, 2) as bigint) % 50 = 1", "1000"),
     "INPATIENT_CLAIMS": ("CLM_PMT_AMT", "CLM_ID % 97 = 0", "n/a"),
     "OUTPATIENT_CLAIMS": ("PRVDR_NUM", "CLM_ID % 89 = 0", "0000000"),
@@ -27,9 +29,11 @@ def csv_copy(store: TableStore, name: str, table: DataFrame) -> str:
     """The folder of a table's CSV copy; written on first use."""
     folder = f"csv/{name}"
     if not store.exists(folder):
-        column, faulty, text = _FAULTS[name]
+        column, faulty, text = FAULTS[name]
         texts = {c: F.col(c).cast("string") for c in _SCHEMAS[name].names}
         texts[column] = F.when(F.expr(faulty), F.lit(text)).otherwise(texts[column])
-        rows = table.select(*[value.alias(c) for c, value in texts.items()])
-        store.put(folder, lambda path: rows.write.option("header", True).csv(path))
+        years = [F.col("src_year").alias("year")] if "src_year" in table.columns else []
+        rows = table.select(*[value.alias(c) for c, value in texts.items()], *years)
+        by = ["year"] if years else []
+        store.put(folder, lambda path: rows.write.partitionBy(*by).option("header", True).csv(path))
     return store.path(folder)

@@ -1,9 +1,9 @@
 """Raw CSV files (S1-S4): fixed schemas, bad rows set aside, never dropped."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,12 +11,35 @@ from medclaims import schemas
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
+SOURCE_YEAR = "src_year"
+# in generated part names, where any four digits may stand
+_UUID = "[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+_YEAR = r"(?<![0-9A-Fa-f])((?:19|20)\d{2})(?![0-9A-Fa-f])"
+# one list of files, or the files of each year
+Paths = Sequence[str] | Mapping[int, Sequence[str]]
 _BAD = "_bad"
 
 
+def _rows(spark: SparkSession, paths: Sequence[str], texts: T.StructType, year: Column) -> DataFrame:
+    files = (
+        spark.read.schema(texts)
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(list(paths))
+    )
+    return files.select(*texts.names, F.col("_metadata.file_name").alias(SOURCE_FILE), year.cast("int").alias(SOURCE_YEAR))
+
+
+def _year_of_path() -> Column:
+    """The year nearest the end of the path that no digit or hex letter touches."""
+    path = F.regexp_replace("_metadata.file_path", _UUID, "")
+    return F.try_element_at(F.regexp_extract_all(path, F.lit(_YEAR), F.lit(1)), F.lit(-1))
+
+
 def load_csv(
     spark: SparkSession,
-    paths: Sequence[str],
+    paths: Paths,
     schema: T.StructType,
     on_error: str = "continue",
     observed: Observation | None = None,
@@ -37,13 +60,10 @@ def load_csv(
     if on_error not in ("continue", "abort"):
         raise ValueError(f"on_error is 'continue' or 'abort', not {on_error!r}")
     texts = T.StructType([T.StructField(name, T.StringType()) for name in [*schema.names, CORRUPT]])
-    rows = (
-        spark.read.schema(texts)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(list(paths))
-        .withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    given = paths.items() if isinstance(paths, Mapping) else [(None, paths)]
+    rows = reduce(
+        DataFrame.unionByName,
+        [_rows(spark, some, texts, _year_of_path() if year is None else F.lit(year)) for year, some in given],
     )
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     faults = [F.col(CORRUPT).isNotNull()]
@@ -58,25 +78,25 @@ def load_csv(
         bad = F.when(bad, F.raise_error(F.concat(F.lit("bad row in "), SOURCE_FILE)).cast("boolean")).otherwise(False)
     judged = rows.withColumn(_BAD, bad)
     counted = judged if observed is None else judged.observe(observed, F.count_if(_BAD).alias("rejected"))
-    good = counted.where(~F.col(_BAD)).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE)
+    good = counted.where(~F.col(_BAD)).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE, SOURCE_YEAR)
     return good, judged.where(_BAD).drop(_BAD)
 
 
 def read_beneficiary(
     spark: SparkSession,
-    paths: Sequence[str],
+    paths: Paths,
     on_error: str = "continue",
     observed: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The yearly beneficiary files as one table.
 
-    ``src_year`` is the first year (19xx/20xx) in the file name that no digit or
-    hex letter touches, as in generated part names; for the
+    ``src_year`` is the given year of the files (``{year: paths}``), or else the
+    last year (19xx/20xx) in the path that no digit or hex letter touches, so
+    that year folders work and generated part names give none; for the
     one-row-per-beneficiary variant of the patient dimension.
     """
     good, rejected = load_csv(spark, paths, schemas.BENEFICIARY, on_error, observed)
-    year = F.try_to_number(F.regexp_extract(SOURCE_FILE, r"(?<![0-9A-Fa-f])((?:19|20)\d{2})(?![0-9A-Fa-f])", 1), F.lit("9999"))
-    return good.withColumn("src_year", year.cast("int")).drop(SOURCE_FILE), rejected
+    return good.drop(SOURCE_FILE), rejected
 
 
 def read_inpatient(
@@ -87,7 +107,7 @@ def read_inpatient(
 ) -> tuple[DataFrame, DataFrame]:
     """Inpatient claim segments."""
     good, rejected = load_csv(spark, paths, schemas.INPATIENT, on_error, observed)
-    return good.drop(SOURCE_FILE), rejected
+    return good.drop(SOURCE_FILE, SOURCE_YEAR), rejected
 
 
 def read_outpatient(
@@ -98,4 +118,4 @@ def read_outpatient(
 ) -> tuple[DataFrame, DataFrame]:
     """S3: outpatient claim segments."""
     good, rejected = load_csv(spark, paths, schemas.OUTPATIENT, on_error, observed)
-    return good.drop(SOURCE_FILE), rejected
+    return good.drop(SOURCE_FILE, SOURCE_YEAR), rejected

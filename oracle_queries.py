@@ -241,19 +241,36 @@ WHERE s.event_id % 2 = 0"""),
 }
 
 
-def _sql(body: str, *needs: str) -> str:
-    """``WITH`` the named CTEs and all they read, then ``body``."""
+# one row per beneficiary
+_LATEST = {"patients": (["patient_rows"], """
+SELECT row_number() OVER (ORDER BY patient_id) AS patient_key, * EXCLUDE (yr) FROM (
+  SELECT * FROM patient_rows QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY yr DESC) = 1)""")}
+
+_FIT_PEOPLE = "CAST(substr(patient_id, 2) AS BIGINT) % 50 <> 1"
+_FIT_CLAIMS = "claim_id % (CASE WHEN is_ip THEN 97 ELSE 89 END) <> 0"
+# what is left after the CSV copies were loaded
+_FIT = {
+    "all_bene": _CTES["bene"],
+    "all_seg": _CTES["seg"],
+    "bene": (["all_bene"], f"SELECT * FROM all_bene WHERE {_FIT_PEOPLE}"),
+    "seg": (["all_seg"], f"SELECT * FROM all_seg WHERE {_FIT_CLAIMS}"),
+}
+
+
+def _sql(body: str, *needs: str, instead: dict[str, tuple[list[str], str]] | None = None) -> str:
+    """``WITH`` the named CTEs and all they read, some taken from ``instead``, then ``body``."""
     order: list[str] = []
+    known = _CTES | (instead or {})
 
     def visit(name: str) -> None:
-        for parent in _CTES[name][0]:
+        for parent in known[name][0]:
             visit(parent)
         if name not in order:
             order.append(name)
 
     for name in needs:
         visit(name)
-    ctes = ",\n".join(f"{name} AS MATERIALIZED ({_CTES[name][1]})" for name in order)
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({known[name][1]})" for name in order)
     return f"WITH {ctes}\n{body}"
 
 
@@ -271,9 +288,9 @@ def _check(position: int) -> str:
     return _sql(f"SELECT * FROM checks WHERE position = {position}", "checks")
 
 
-def _counts(tables: dict[str, str], *needs: str) -> str:
+def _counts(tables: dict[str, str], *needs: str, instead=None) -> str:
     parts = [f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}" for name, source in tables.items()]
-    return _sql(" UNION ALL ".join(parts) + " ORDER BY table_name", *needs)
+    return _sql(" UNION ALL ".join(parts) + " ORDER BY table_name", *needs, instead=instead)
 
 
 _RAW_FLAGS = [
@@ -296,7 +313,7 @@ def _csv_beneficiary() -> str:
     state_code AS SP_STATE_CODE, county_code AS BENE_COUNTY_CD, CAST(hi AS INTEGER) AS BENE_HI_CVRAGE_TOT_MONS,
     CAST(smi AS INTEGER) AS BENE_SMI_CVRAGE_TOT_MONS, CAST(hmo AS INTEGER) AS BENE_HMO_CVRAGE_TOT_MONS, {flags},
     CAST(ip_amount AS DOUBLE) AS MEDREIMB_IP, CAST(op_amount AS DOUBLE) AS MEDREIMB_OP,
-    CAST(car_amount AS DOUBLE) AS MEDREIMB_CAR, {zeros}
+    CAST(car_amount AS DOUBLE) AS MEDREIMB_CAR, {zeros}, CAST(yr AS INTEGER) AS src_year
     FROM bene WHERE {k} % 50 <> 1"""
 
 
@@ -319,14 +336,63 @@ def _csv_claims(inpatient: bool) -> str:
     CAST(NULL AS VARCHAR) AS OT_PHYSN_NPI, {codes}, {procedures} FROM seg WHERE {fit}"""
 
 
+_CATEGORIES = "diagnosis_category IN ('Circulatory System', 'Endocrine/Metabolic')"
+
+
+def _kpi(some: str = "TRUE") -> str:
+    return _sql(
+        f"""SELECT CAST(sum(claim_payment_amount) AS DOUBLE) AS total_paid, count(*) AS claim_count,
+        (SELECT CAST(sum(unique_patients) AS BIGINT) FROM monthly WHERE {some}) AS unique_patients_sum,
+        CAST(sum(claim_payment_amount) AS DOUBLE) / count(*) AS avg_paid_per_claim,
+        (SELECT CAST(sum(CAST(avg_length_of_stay AS DECIMAL(18,6))) AS DOUBLE) / count(avg_length_of_stay)
+          FROM monthly WHERE {some}) AS avg_length_of_stay_mean,
+        count(DISTINCT patient_key) AS unique_patients_exact, avg(utilization_days) AS avg_length_of_stay_exact
+        FROM fact JOIN days ON claim_from_date_key = date_key
+        LEFT JOIN diagnoses ON primary_diagnosis_key = diagnosis_key WHERE {some}""",
+        "fact", "days", "diagnoses", "monthly",
+    )
+
+
+def _trend(some: str = "TRUE") -> str:
+    return _sql(
+        f"""SELECT CAST(date_trunc('month', full_date) AS DATE) AS month_date,
+        CAST(sum(claim_payment_amount) AS DOUBLE) AS total_paid, count(*) AS claim_count,
+        CAST(sum(utilization_days) AS BIGINT) AS total_utilization_days,
+        avg(utilization_days) AS avg_length_of_stay_exact,
+        CAST(sum(utilization_days) AS DOUBLE) / count(*) AS stay_days_per_claim
+        FROM fact JOIN days ON claim_from_date_key = date_key
+        LEFT JOIN diagnoses ON primary_diagnosis_key = diagnosis_key
+        WHERE claim_type = 'Inpatient' AND {some} GROUP BY 1 ORDER BY 1""",
+        "fact", "days", "diagnoses",
+    )
+
+
+_OUTPATIENT_ROWS = "(SELECT count(*) FROM fact WHERE claim_type = 'Outpatient')"
+_PATIENT_ROWS = "(SELECT count(*) FROM patients)"
+
+
+def _job_rows(runs: int, first: str) -> str:
+    """A report of pipeline runs; ``first`` are the values of the patient job."""
+    return _sql(
+        f"""SELECT job_name, status, CAST(rows_processed AS BIGINT) AS rows_processed, CAST(7 AS BIGINT) AS duration_sec,
+        CAST(error_message AS VARCHAR) AS error_message
+        FROM range({runs}) run(n), (VALUES (1, 'sp_load_dim_patients', {first}),
+          (2, 'sp_load_fact_claims', 'SUCCESS', {_OUTPATIENT_ROWS}, NULL), (3, 'sp_refresh_marts', 'SUCCESS', 3, NULL)
+        ) job(place, job_name, status, rows_processed, error_message) ORDER BY n DESC, place DESC""",
+        "fact", "patients", instead=_FIT,
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "csv_beneficiary": _sql(_csv_beneficiary(), "bene"),
     "csv_inpatient": _sql(_csv_claims(inpatient=True), "seg"),
     "csv_outpatient": _sql(_csv_claims(inpatient=False), "seg"),
-    "csv_rejected": _counts(
-        {"BENEFICIARY_SUMMARY": "bene WHERE CAST(substr(patient_id, 2) AS BIGINT) % 50 = 1",
-         "INPATIENT_CLAIMS": "seg WHERE is_ip AND claim_id % 97 = 0",
-         "OUTPATIENT_CLAIMS": "seg WHERE NOT is_ip AND claim_id % 89 = 0"},
+    "csv_rejected": _sql(
+        f"""SELECT 'BENEFICIARY_SUMMARY' AS table_name, patient_id AS row_id, CAST(yr AS VARCHAR) AS part_id,
+          'BENE_COUNTY_CD' AS faulty_column, '1000' AS faulty_text FROM bene WHERE NOT ({_FIT_PEOPLE})
+        UNION ALL SELECT CASE WHEN is_ip THEN 'INPATIENT_CLAIMS' ELSE 'OUTPATIENT_CLAIMS' END,
+          CAST(claim_id AS VARCHAR), CAST(segment AS VARCHAR), CASE WHEN is_ip THEN 'CLM_PMT_AMT' ELSE 'PRVDR_NUM' END,
+          CASE WHEN is_ip THEN 'n/a' ELSE '0000000' END FROM seg WHERE NOT ({_FIT_CLAIMS})""",
         "bene", "seg",
     ),
     "dim_date": _sql(
@@ -335,18 +401,16 @@ ORACLE_SQL: dict[str, str] = {
         "days", "fact",
     ),
     "dim_patients": _all_of("patients"),
-    "dim_patients_latest": _sql(
-        """SELECT row_number() OVER (ORDER BY patient_id) AS patient_key, * EXCLUDE (yr) FROM (
-          SELECT * FROM patient_rows QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY yr DESC) = 1)""",
-        "patient_rows",
-    ),
+    "dim_patients_latest": _sql("SELECT * FROM patients", "patients", instead=_LATEST),
     "dim_providers": _all_of("providers"),
     "dim_diagnoses": _all_of("diagnoses"),
     "diagnosis_codes": _sql("SELECT code AS icd9_code FROM codes", "codes"),
     "fact_inpatient": _sql(_amounts_as_double("fact_rows") + " WHERE claim_type = 'Inpatient'", "fact_rows"),
     "fact_outpatient": _sql(_amounts_as_double("fact_rows") + " WHERE claim_type = 'Outpatient'", "fact_rows"),
     "fact_claims": _sql(_amounts_as_double("fact"), "fact"),
+    "fact_claims_latest": _sql(_amounts_as_double("fact"), "fact", instead=_LATEST),
     "mart_monthly": _all_of("monthly"),
+    "mart_monthly_latest": _sql("SELECT * FROM monthly", "monthly", instead=_LATEST),
     "mart_monthly_etl": _sql("SELECT * EXCLUDE (total_utilization_days) FROM monthly", "monthly"),
     "mart_diagnosis": _all_of("by_diagnosis"),
     "mart_diagnosis_etl": _sql("SELECT * EXCLUDE (rank_by_cost, rank_by_volume) FROM by_diagnosis", "by_diagnosis"),
@@ -382,6 +446,28 @@ ORACLE_SQL: dict[str, str] = {
         error_message FROM runs ORDER BY start_time DESC""",
         "runs",
     ),
+    "job_pipeline_log": _job_rows(2, f"'SUCCESS', {_PATIENT_ROWS}, NULL"),
+    "job_failed_log": _job_rows(1, "'FAILED', NULL, 'dedup is ''literal'' or ''latest'', not ''none'''"),
+    "job_table_counts": _counts(
+        {"BENEFICIARY_SUMMARY": "bene", "INPATIENT_CLAIMS": "seg WHERE is_ip",
+         "OUTPATIENT_CLAIMS": "seg WHERE NOT is_ip",
+         "BENEFICIARY_SUMMARY_REJECTED": f"all_bene WHERE NOT ({_FIT_PEOPLE})",
+         "INPATIENT_CLAIMS_REJECTED": f"all_seg WHERE is_ip AND NOT ({_FIT_CLAIMS})",
+         "OUTPATIENT_CLAIMS_REJECTED": f"all_seg WHERE NOT is_ip AND NOT ({_FIT_CLAIMS})",
+         "DIM_DATE": "days", "DIM_PATIENTS": "patients", "DIM_PROVIDERS": "providers",
+         "DIM_DIAGNOSES": "diagnoses", "FACT_CLAIMS": "fact",
+         "MART_MONTHLY_CLAIMS_SUMMARY": "monthly", "MART_DIAGNOSIS_SUMMARY": "by_diagnosis",
+         "MART_PROVIDER_PERFORMANCE": "by_provider"},
+        "days", "monthly", "by_diagnosis", "by_provider", instead=_FIT,
+    ),
+    "job_quality_log": _sql(
+        """SELECT position + 7 * n AS check_id, check_name,
+          TIMESTAMP '2024-01-01 08:00:07' + n * INTERVAL 14 SECOND AS check_time, table_name, status,
+          records_checked, records_failed, failure_rate, details,
+          (n + 1) * passed || ' / ' || (n + 1) * 7 || ' checks passed' AS answer
+        FROM checks, range(2) run(n), (SELECT count(*) AS passed FROM checks WHERE status = 'PASS')""",
+        "checks", instead=_FIT,
+    ),
     "row_counts_raw": _counts(
         {"BENEFICIARY_SUMMARY": "bene", "INPATIENT_CLAIMS": "seg WHERE is_ip",
          "OUTPATIENT_CLAIMS": "seg WHERE NOT is_ip"},
@@ -397,14 +483,8 @@ ORACLE_SQL: dict[str, str] = {
          "MART_PROVIDER_PERFORMANCE": "by_provider"},
         "monthly", "by_diagnosis", "by_provider",
     ),
-    "kpi_cards": _sql(
-        """SELECT CAST(sum(claim_payment_amount) AS DOUBLE) AS total_paid, count(*) AS claim_count,
-        (SELECT CAST(sum(unique_patients) AS BIGINT) FROM monthly) AS unique_patients_sum,
-        CAST(sum(claim_payment_amount) AS DOUBLE) / count(*) AS avg_paid_per_claim,
-        count(DISTINCT patient_key) AS unique_patients_exact, avg(utilization_days) AS avg_length_of_stay_exact
-        FROM fact JOIN days ON claim_from_date_key = date_key""",
-        "fact", "days", "monthly",
-    ),
+    "kpi_cards": _kpi(),
+    "kpi_cards_by_category": _kpi(_CATEGORIES),
     "top_diagnoses_cost": _sql("SELECT * FROM by_diagnosis WHERE rank_by_cost <= 10", "by_diagnosis"),
     "top_diagnoses_volume": _sql(
         "SELECT * FROM by_diagnosis WHERE rank_by_volume <= 10 AND claim_type = 'Inpatient'", "by_diagnosis"
@@ -419,16 +499,8 @@ ORACLE_SQL: dict[str, str] = {
         avg_paid_per_claim, avg_length_of_stay FROM by_diagnosis""",
         "by_diagnosis",
     ),
-    "monthly_trend_inpatient": _sql(
-        """SELECT CAST(date_trunc('month', full_date) AS DATE) AS month_date,
-        CAST(sum(claim_payment_amount) AS DOUBLE) AS total_paid, count(*) AS claim_count,
-        CAST(sum(utilization_days) AS BIGINT) AS total_utilization_days,
-        avg(utilization_days) AS avg_length_of_stay_exact,
-        CAST(sum(utilization_days) AS DOUBLE) / count(*) AS stay_days_per_claim
-        FROM fact JOIN days ON claim_from_date_key = date_key
-        WHERE claim_type = 'Inpatient' GROUP BY 1 ORDER BY 1""",
-        "fact", "days",
-    ),
+    "monthly_trend_inpatient": _trend(),
+    "monthly_trend_by_category": _trend(_CATEGORIES),
     "category_drilldown": _sql(
         "SELECT * FROM monthly WHERE diagnosis_category IN ('Circulatory System', 'Endocrine/Metabolic')",
         "monthly",
