@@ -79,6 +79,20 @@ def test_year_is_not_taken_from_a_generated_part_name(spark, tmp_path):
     assert [r.src_year for r in csv_load.read_beneficiary(spark, [path])[0].collect()] == [None]
 
 
+def test_year_of_a_folder_and_given_years(spark, tmp_path):
+    fields = ["0001", "19400101", "", "1", "5", "0", "05", "007"] + ["12"] * 3 + ["2"] * 11 + ["1.50"] * 9
+    paths = []
+    for year in (2008, 2010):
+        folder = tmp_path / f"year={year}"
+        folder.mkdir()
+        name = "part-00000-1a2b3c4d-2009-4e5f-8a9b-0c1d2e3f4a5b-c000.csv"
+        paths.append(_write(folder, name, [",".join(fields)], schemas.BENEFICIARY.names))
+    assert sorted(r.src_year for r in csv_load.read_beneficiary(spark, paths)[0].collect()) == [2008, 2010]
+    given = {2009: paths[:1], 2010: paths[1:]}
+    good, rejected = csv_load.read_beneficiary(spark, given)
+    assert sorted(r.src_year for r in good.collect()) == [2009, 2010] and rejected.count() == 0
+
+
 def test_file_without_a_year(spark, tmp_path):
     fields = ["0001"] + [""] * (len(schemas.BENEFICIARY.names) - 1)
     path = _write(tmp_path, "people.csv", [",".join(fields)], schemas.BENEFICIARY.names)

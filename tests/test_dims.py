@@ -40,6 +40,12 @@ def test_latest_keeps_one_row_per_beneficiary(raw, store):
     ]
 
 
+def test_latest_needs_a_year(raw, store):
+    rows = raw.beneficiary([{"DESYNPUF_ID": "A", "BENE_BIRTH_DT": 19400101}], year_column=True)
+    with pytest.raises(Exception, match="src_year"):
+        dims.dim_patients(rows, store, dedup="latest").collect()
+
+
 def test_unknown_dedup_is_refused(raw, store):
     with pytest.raises(ValueError):
         dims.dim_patients(raw.beneficiary([]), store, dedup="some")

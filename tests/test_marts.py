@@ -127,4 +127,10 @@ def test_feeds(raw, dims, store):
     ]
     assert trend[1].avg_length_of_stay_exact == 0.0 and trend[1].stay_days_per_claim == 0.0
     assert feeds.filter_category(mart, ["Circulatory System"]).count() == 1
+    [some] = feeds.kpi_cards(monthly, fact, dates, diagnoses, ["Circulatory System"]).collect()
+    kept = monthly.where("diagnosis_category = 'Circulatory System'").collect()
+    assert some.claim_count == sum(r.claim_count for r in kept) < 6
+    assert some.unique_patients_exact <= some.unique_patients_sum == sum(r.unique_patients for r in kept)
+    with pytest.raises(ValueError):
+        feeds.kpi_cards(monthly, fact, dates, categories=["Circulatory System"])
     assert feeds.cost_vs_utilization(mart).count() == 5
