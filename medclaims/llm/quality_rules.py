@@ -3,8 +3,11 @@
 Counts are taken over the whole text. Two base rules fail a document outright.
 An isolation forest on rates made of the counts gives every document an
 anomaly score from its mean path length over random splits; documents above a
-threshold are dropped. The threshold is calibrated on the labelled rows: the
-lowest one above which lie at most ``FALSE_ALARMS`` of the good ones.
+threshold are dropped. The forest is grown on documents labelled good that pass
+the base rules, so that junk does not pass for ordinary; its splits are drawn
+from the ranges of all documents that pass, so that what good ones never have
+can be told. The threshold is calibrated on all labelled rows: of those above
+which lie at most ``FALSE_ALARMS`` of the good ones, the one that drops most bad ones.
 
 NULL text has no words and fails, as does an empty one. Without labelled good
 rows only the base rules decide. NULL labels are ignored; of several labels of
@@ -28,7 +31,7 @@ REPEAT_WORDS = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
-# the forest is fitted on a bounded sample, the rows of least hash
+# the forest is fitted on a bounded sample of the good documents, the rows of least hash
 SAMPLE_ROWS = 8192
 TREES = 100
 TREE_ROWS = 256
@@ -80,8 +83,8 @@ def rates(counts: np.ndarray) -> np.ndarray:
     """What the forest splits on, from rows of counts."""
     words, chars, symbols, lines, repeats = counts.astype(float).T
     some = np.maximum(words, 1)
-    return np.stack(
-        [np.log1p(words), chars / some, symbols / np.maximum(chars, 1), lines / some, repeats / some], axis=1
+    return np.log1p(
+        np.stack([chars / some, 1000 * symbols / np.maximum(chars, 1), 10 * lines / some, 10 * repeats / some], axis=1)
     )
 
 
@@ -116,31 +119,38 @@ class Forest:
         return 2.0 ** (-total / len(self.feature) / float(_mean_path(float(self.tree_rows))))
 
 
-def grow(rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> Forest:
-    """An isolation forest: each tree splits a few rows at random until alone."""
+def grow(
+    rows: np.ndarray, trees: int = TREES, tree_rows: int = TREE_ROWS, seed: int = SEED, span: np.ndarray | None = None
+) -> Forest:
+    """An isolation forest: each tree splits a few rows at random until alone.
+
+    Splits are drawn from ``span`` (least and greatest of each feature, those of
+    the rows if not given), not from what the rows of a node happen to have.
+    """
     random = np.random.default_rng(seed)
     tree_rows = min(tree_rows, len(rows))
     most_depth = int(np.ceil(np.log2(max(tree_rows, 2))))
     nodes = 2 ** (most_depth + 1)
     forest = Forest(np.full((trees, nodes), -1), np.zeros((trees, nodes)), np.zeros((trees, nodes), np.int64), tree_rows)
+    span = np.stack([rows.min(0), rows.max(0)]) if span is None else span
     for tree in range(trees):
-        todo = [(0, rows[random.choice(len(rows), tree_rows, replace=False)], 0)]
+        todo = [(0, rows[random.choice(len(rows), tree_rows, replace=False)], 0, *span)]
         used = 1
         while todo:
-            node, some, depth = todo.pop()
-            low, high = some.min(0), some.max(0)
+            node, some, depth, low, high = todo.pop()
             varied = np.flatnonzero(high > low)
-            if depth == most_depth or not len(varied):
+            if depth == most_depth or len(some) < 2 or not len(varied):
                 forest.at[tree, node] = depth + _mean_path(float(len(some)))
                 continue
             feature = random.choice(varied)
             at = random.uniform(low[feature], high[feature])
-            right = some[:, feature] >= at
-            if right.all():
+            if at <= low[feature]:
                 at = high[feature]
-                right = some[:, feature] >= at
+            right = some[:, feature] >= at
+            below, above = high.copy(), low.copy()
+            below[feature] = above[feature] = at
             forest.feature[tree, node], forest.at[tree, node], forest.child[tree, node] = feature, at, used
-            todo += [(used, some[~right], depth + 1), (used + 1, some[right], depth + 1)]
+            todo += [(used, some[~right], depth + 1, low, below), (used + 1, some[right], depth + 1, above, high)]
             used += 2
     return forest
 
@@ -156,33 +166,71 @@ def _score(forest: Forest):
     return score
 
 
-def threshold(scored: DataFrame, labels: DataFrame, false_alarms: float = FALSE_ALARMS) -> float:
-    """The lowest bin edge above which at most that share of the good documents lies."""
-    worst = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    good = scored.where(~F.col("base_failed")).join(worst.where("quality = 1"), "doc_id")
-    # one row per bin
-    bins = {
-        row["bin"]: row["count"]
-        for row in good.groupBy(F.floor(F.col("anomaly") * _BINS).cast("int").alias("bin")).count().collect()
-    }
-    allowed, edge = false_alarms * sum(bins.values()), _BINS + 1
-    if not bins:
-        return 2.0
+def worst_labels(labels: DataFrame) -> DataFrame:
+    """One label a document, the worst."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    return known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def best_edge(good: dict[int, int], bad: dict[int, int], false_alarms: float = FALSE_ALARMS) -> int:
+    """The bin from which on to drop: at most that share of the good go, as many bad
+    ones as then can, and no more good ones than that takes."""
+    allowed, edge, caught = false_alarms * sum(good.values()), _BINS + 1, 0
+    lost = found = 0
     for bin_ in range(_BINS, -1, -1):
-        allowed -= bins.get(bin_, 0)
-        if allowed < 0:
+        lost, found = lost + good.get(bin_, 0), found + bad.get(bin_, 0)
+        if lost > allowed:
             break
-        edge = bin_
-    return edge / _BINS
+        # without labelled bad rows the lowest edge is taken
+        if found > caught or not bad:
+            edge, caught = bin_, found
+    return edge
+
+
+def threshold(scored: DataFrame, labels: DataFrame, false_alarms: float = FALSE_ALARMS) -> float:
+    """The score from which documents are dropped, from all labelled ones that pass the base rules."""
+    known = scored.where(~F.col("base_failed")).join(worst_labels(labels).where("quality IN (0, 1)"), "doc_id")
+    # one row per label and bin
+    bins = {0: {}, 1: {}}
+    for row in known.groupBy("quality", F.floor(F.col("anomaly") * _BINS).cast("int").alias("bin")).count().collect():
+        bins[row["quality"]][row["bin"]] = row["count"]
+    return best_edge(bins[1], bins[0], false_alarms) / _BINS if bins[1] else 2.0
+
+
+def _sample(rows: DataFrame) -> np.ndarray:
+    """Counts of the rows of least hash; repeated rows count once."""
+    rows = rows.select("doc_id", *COUNTS).distinct().orderBy(F.xxhash64("doc_id", *COUNTS), "doc_id", *COUNTS)
+    return rows.limit(SAMPLE_ROWS).select(*COUNTS).toPandas().to_numpy(np.int64).reshape(-1, len(COUNTS))
+
+
+def _span(rows: DataFrame) -> np.ndarray:
+    """Least and greatest of each rate over all the rows."""
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = rates(np.stack([batch.column(name).to_numpy() for name in COUNTS], axis=1))
+                columns = [pa.array(end) for end in (*found.min(0)[:, None], *found.max(0)[:, None])]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    n = rates(np.zeros((1, len(COUNTS)), np.int64)).shape[1]
+    names = [f"{end}{i}" for end in ("low", "high") for i in range(n)]
+    found = rows.select(*COUNTS).mapInArrow(ends, ", ".join(f"{name} double" for name in names))
+    return np.array(found.agg(*[(F.min if name[0] == "l" else F.max)(name) for name in names]).first()).reshape(2, n)
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Counts, base verdict, anomaly score and verdict of every document."""
     stats = scratch(statistics(docs), "rule_statistics")
-    sample = stats.orderBy(F.xxhash64("doc_id"), *COUNTS).limit(SAMPLE_ROWS).select(*COUNTS).toPandas().to_numpy()
+    passed = stats.where(~F.col("base_failed"))
+    sample = _sample(passed.join(worst_labels(labels).where("quality = 1"), "doc_id"))
+    if not len(sample):
+        # only the base rules decide then; the score is against all that pass them
+        sample = _sample(passed)
     if not len(sample):
         return stats.select("*", F.lit(0.0).alias("anomaly"), F.lit(False).alias("kept"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats.schema.fields)
-    scored = scratch(stats.mapInArrow(_score(grow(rates(sample))), f"{schema}, anomaly double"), "anomalies")
+    forest = grow(rates(sample), span=_span(passed))
+    scored = scratch(stats.mapInArrow(_score(forest), f"{schema}, anomaly double"), "anomalies")
     limit = threshold(scored, labels)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < limit))

@@ -202,6 +202,26 @@ def test_isolation_forest_scores_outliers_higher():
     assert outer.min() > np.quantile(inner, 0.95)
 
 
+def test_bad_documents_with_symbols_are_dropped(spark):
+    def text(i):
+        words = prose(random.Random(i).randrange(12, 300), i).split()
+        return " ".join(w + random.Random(i).choice(["###", "$$$", "%%%"]) * (i % 3 == 0) for w in words)
+
+    n = 900
+    labels = spark.createDataFrame(pa.table({"doc_id": list(range(n // 2)), "quality": [int(i % 3 > 0) for i in range(n // 2)]}))
+    found = quality_rules.judge(frame(spark, [(i, text(i), "en", "s", 1) for i in range(n)]), labels).collect()
+    passed = [r for r in found if not r.base_failed]
+    bad, good = ([r for r in passed if (r.doc_id % 3 == 0) == is_bad] for is_bad in (True, False))
+    assert len(bad) > 250 and sum(r.kept for r in bad) <= 0.02 * len(bad)
+    assert sum(not r.kept for r in good) <= 0.02 * len(good)
+
+
+def test_threshold_takes_most_bad_and_fewest_good():
+    assert quality_rules.best_edge({10: 998, 30: 1, 50: 1}, {40: 5, 60: 2}) == 40
+    assert quality_rules.best_edge({10: 998, 30: 2}, {}) == 11
+    assert quality_rules.best_edge({10: 100}, {5: 3}) == quality_rules._BINS + 1
+
+
 def test_mixing_cuts_at_the_budget(docs, table):
     found = mixing.taken_tokens(
         docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text"), bucket_docs=3
