@@ -107,7 +107,7 @@ def test_a_failing_job_is_logged_and_hidden(ctx, monkeypatch):
 def test_strict_stops_at_the_first_failure(ctx, monkeypatch):
     _break(monkeypatch)
     result = jobs.run_pipeline(ctx, strict=True)
-    assert result.message == "Pipeline FAILED: no disk" and not result.ok
+    assert result.message == f"Pipeline FAILED: {LONG_TEXT}" and not result.ok
     assert [row[1] for row in _log(ctx)] == ["SUCCESS", "FAILED"]
 
 

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -11,7 +15,7 @@ class _Conf(dict):
 
 
 def _session(master, **conf):
-    return SimpleNamespace(conf=_Conf(conf), sparkContext=SimpleNamespace(master=master))
+    return SimpleNamespace(conf=_Conf(conf), sparkContext=SimpleNamespace(master=master, applicationId=f"app-{id(conf)}"))
 
 
 def test_the_named_folder_is_used_anywhere():
@@ -19,14 +23,32 @@ def test_the_named_folder_is_used_anywhere():
         assert shared_dir(_session(master, **{CHECKPOINT_SETTING: "hdfs:///tmp/shared/"})) == "hdfs:///tmp/shared"
 
 
-def test_a_cluster_without_a_named_folder_is_refused():
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_without_a_named_folder_is_refused(master):
     with pytest.raises(ValueError, match=CHECKPOINT_SETTING):
-        shared_dir(_session("spark://host:7077"))
+        shared_dir(_session(master))
 
 
 def test_a_local_session_gets_one_folder_and_keeps_it():
     session = _session("local[2]")
-    assert shared_dir(session) == shared_dir(session) == session.conf[CHECKPOINT_SETTING]
+    assert shared_dir(session) == shared_dir(session) != ""
+
+
+def test_a_query_runs_in_a_session_without_any_settings(tmp_path):
+    """Spark refuses to change ``spark.checkpoint.dir`` at run time, so nothing may try."""
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from medclaims.plans import star\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "layers = star.derived_layers(spark, '/root/testdata/sf0.001')\n"
+        "print('days', layers.table(star.DIM_DATE).count())\n"
+        "star.remove_layers(spark)\n"
+    )
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(Path(__file__).resolve().parents[1])}
+    env.pop("PYSPARK_SUBMIT_ARGS", None)
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "days 1096" in done.stdout, done.stderr[-2000:]
 
 
 def test_append_creates_then_adds(spark, store):
