@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from medclaims.llm import (
+    decontamination,
     exact_dedup,
     language_id,
     licences,
@@ -51,6 +52,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda docs: licences.scan(docs).selectExpr("doc_id", "n_paragraphs", "array_join(families, ',') AS families", "probability", "similarity")
     ),
     "op10_exact_dedup": _over_documents(exact_dedup.exact_groups),
+    "op13_decontamination": lambda spark, sf_dir: decontamination.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    ).drop("hits"),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -85,4 +89,35 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS kept_sha256
         FROM words LEFT JOIN kept USING (doc_id)
     """,
+    "op13_decontamination": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), starts AS (
+            SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0
+        ), windows AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS win FROM starts
+        ), places AS (
+            SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i
+            FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+        ), found AS (
+            SELECT r, p.n, i, item_id
+            FROM (SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS win FROM places) p JOIN windows USING (n, win)
+        ), hit AS (
+            SELECT r, count(*) AS n_hit
+            FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS i FROM found) GROUP BY r
+        ), met AS (
+            SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM docs LEFT JOIN hit USING (r) LEFT JOIN met USING (r)
+    """,
 }
