@@ -44,54 +44,61 @@ EVERY = 97
 # sorted words that are numbered together
 CHUNK = 1 << 16
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
+# Latin-1 with A-Z lowered and all but letters blank
+_LETTERS = bytes(c if chr(c).isascii() and chr(c).isalpha() or c >= 0xC0 else 0x20 for c in range(256)).lower()
 # characters of a text that are split at once; words a task counts before it sends them
 _PIECE = 1 << 20
-_HELD = 1 << 18
+_HELD = 1 << 19
 
 
-def run_pieces(text: str, size: int = _PIECE) -> Iterator[list[str]]:
-    """The runs of a text, a piece of it at a time; no run is cut."""
+def run_pieces(text: str, size: int = _PIECE) -> Iterator[list[bytes]]:
+    """The lower-cased runs of a text in Latin-1, a piece of it at a time; no run is cut."""
     at = 0
     while at < len(text):
         end = at + size
         inside = _RUN.match(text, end)
         end = inside.end() if inside else end
-        yield _RUN.findall(text, at, end)
+        # what Latin-1 lacks becomes a question mark, which is no letter either
+        yield text[at:end].encode("latin-1", "replace").translate(_LETTERS).split()
         at = end
 
 
-def _altered(run: bytes, doc_id: bytes) -> bytes:
-    digest = zlib.crc32(run, zlib.crc32(doc_id))
+def _altered(run: bytes, prefix: int) -> bytes:
+    digest = zlib.crc32(run if run.isascii() else run.decode("latin-1").encode(), prefix)
     if digest % EVERY:
         return run
-    letters = run.decode()
-    at = digest % len(letters)
-    return (letters[:at] + letters[at + 1 :]).encode()
+    at = digest % len(run)
+    return run[:at] + run[at + 1 :]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def _count(least_length: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[bytes, int] = {}
 
-    def sent() -> pa.RecordBatch:
-        words = pa.array(list(counts), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        def sent() -> pa.RecordBatch:
+            words = pa.array([word.decode("latin-1") for word in counts], pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-    for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            prefix = None if doc_id is None else f"{doc_id}:".encode()
-            for runs in run_pieces(text or ""):
-                for run, n in Counter(runs).items():
-                    low = run.encode().lower()
-                    counts[low if prefix is None else _altered(low, prefix)] += n
-                if len(counts) > _HELD:
-                    yield sent()
-                    counts.clear()
-    yield sent()
+        for batch in batches:
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                prefix = None if doc_id is None else zlib.crc32(f"{doc_id}:".encode())
+                for runs in run_pieces(text or ""):
+                    for run, n in Counter(runs).items():
+                        if len(run) < least_length:
+                            continue
+                        word = run if prefix is None else _altered(run, prefix)
+                        counts[word] = counts.get(word, 0) + n
+                    if len(counts) > _HELD:
+                        yield sent()
+                        counts = {}
+        yield sent()
+
+    return count
 
 
 def count_words(docs: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
     """(id, word, n): the words, numbered in code-point order; stored."""
-    counts = docs.select("doc_id", "text").mapInArrow(_count, "word string, n long")
+    counts = docs.select("doc_id", "text").mapInArrow(_count(least_length), "word string, n long")
     words = counts.where(F.length("word") >= least_length).groupBy("word").agg(F.sum("n").alias("n"))
     return scratch(numbered(words.where(F.col("n") >= least_count), "id", ["word"]), "words")
 
