@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medclaims import fixed_values as V
 from medclaims.functions import calendar as cal
 from medclaims.functions import labels, measures
-from medclaims.operators.keys import with_surrogate_key
+from medclaims.operators.keys import with_stable_key, with_surrogate_key
 from medclaims.schemas import TOTAL
 from medclaims.sources.tables import TableStore
 
@@ -66,7 +66,25 @@ def patient_attributes(beneficiary: DataFrame) -> list:
     ]
 
 
-def dim_patients(beneficiary: DataFrame, store: TableStore, dedup: str = "literal") -> DataFrame:
+# what a dimension's row is known by over reloads; patients by all columns unless there is one row for each
+IDENTITY = {"provider_key": ["provider_id"], "diagnosis_key": ["icd9_code"]}
+
+
+def identity_columns(key: str, columns: list[str], dedup: str = "literal") -> list[str]:
+    if key == "patient_key":
+        return ["patient_id"] if dedup == "latest" else [c for c in columns if c != key]
+    return IDENTITY[key]
+
+
+def _keyed(df: DataFrame, key: str, order_by: list[str], store: TableStore, known: DataFrame | None, dedup="literal") -> DataFrame:
+    if known is None:
+        return with_surrogate_key(df, key, order_by, store)
+    return with_stable_key(df, key, order_by, identity_columns(key, df.columns, dedup), known, store)
+
+
+def dim_patients(
+    beneficiary: DataFrame, store: TableStore, dedup: str = "literal", known: DataFrame | None = None
+) -> DataFrame:
     """Patients with their surrogate key.
 
     ``dedup="literal"`` keeps every distinct row (A10), so a beneficiary whose
@@ -74,10 +92,17 @@ def dim_patients(beneficiary: DataFrame, store: TableStore, dedup: str = "litera
     beneficiary, that of the highest ``src_year``: a max over a struct, which
     combines before the shuffle, where a window would gather whole groups. A row
     without a year is an error then, since any of them could be the latest.
+
+    A first build numbers the distinct rows where it sorts them, in one shuffle. ``known``
+    are the keys given before (identity, patient_key): distinct rows keep theirs, and
+    with ``latest`` beneficiaries do, whatever has changed about them.
     """
     attributes = patient_attributes(beneficiary)
     if dedup == "literal":
-        patients = beneficiary.select(*attributes).distinct()
+        patients = beneficiary.select(*attributes)
+        if known is None:
+            return with_surrogate_key(patients, "patient_key", patients.columns, store, distinct=True)
+        patients = patients.distinct()
     elif dedup == "latest":
         no_year = F.raise_error(F.lit("a beneficiary row has no src_year: give the years of its files"))
         rows = beneficiary.select(*attributes, F.coalesce("src_year", no_year.cast("int")).alias("src_year"))
@@ -86,7 +111,7 @@ def dim_patients(beneficiary: DataFrame, store: TableStore, dedup: str = "litera
         patients = newest.select("patient_id", *[f"newest.{name}" for name in names])
     else:
         raise ValueError(f"dedup is 'literal' or 'latest', not {dedup!r}")
-    return with_surrogate_key(patients, "patient_key", patients.columns, store)
+    return _keyed(patients, "patient_key", patients.columns, store, known, dedup)
 
 
 def provider_totals(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
@@ -115,7 +140,9 @@ def provider_totals(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
     )
 
 
-def dim_providers(inpatient: DataFrame, outpatient: DataFrame, store: TableStore) -> DataFrame:
+def dim_providers(
+    inpatient: DataFrame, outpatient: DataFrame, store: TableStore, known: DataFrame | None = None
+) -> DataFrame:
     """V1: one row per provider number seen on either side."""
     claims = F.col("total_inpatient_claims") + F.col("total_outpatient_claims")
     providers = provider_totals(inpatient, outpatient).select(
@@ -127,7 +154,7 @@ def dim_providers(inpatient: DataFrame, outpatient: DataFrame, store: TableStore
         measures.safe_ratio(F.col("total_payment_amount"), claims).cast(TOTAL).alias("avg_claim_amount"),
         "total_payment_amount",
     )
-    return with_surrogate_key(providers, "provider_key", ["provider_id"], store)
+    return _keyed(providers, "provider_key", ["provider_id"], store, known)
 
 
 def diagnosis_codes(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
@@ -141,11 +168,13 @@ def diagnosis_codes(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
     return both.where(F.col("icd9_code").isNotNull()).distinct()
 
 
-def dim_diagnoses(inpatient: DataFrame, outpatient: DataFrame, store: TableStore) -> DataFrame:
+def dim_diagnoses(
+    inpatient: DataFrame, outpatient: DataFrame, store: TableStore, known: DataFrame | None = None
+) -> DataFrame:
     """G1: one row per code with its text and category."""
     diagnoses = diagnosis_codes(inpatient, outpatient).select(
         "icd9_code",
         labels.diagnosis_text("icd9_code").alias("diagnosis_description"),
         labels.diagnosis_category("icd9_code").alias("diagnosis_category"),
     )
-    return with_surrogate_key(diagnoses, "diagnosis_key", ["icd9_code"], store)
+    return _keyed(diagnoses, "diagnosis_key", ["icd9_code"], store, known)

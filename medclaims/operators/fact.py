@@ -3,16 +3,16 @@
 What is computed: segments look up patient, provider and diagnosis keys (LEFT,
 one row per matching patient row), then group by claim and the three keys.
 
-How: the roll-up comes first, straight from the scan, by claim and the three *ids*; only
-the claims, a fraction of the segments, look up their keys. Ids and keys split
-a claim alike, except that all ids without a dimension row share the key NULL. So only claims
-with such an id can have come out in too many rows; the segments of those claims are taken
-again, in the order of what is computed. A beneficiary with several patient rows
-multiplies claims after the roll-up instead of segments before it.
+How: a beneficiary of several patient rows multiplies segments, and all that is
+done to them. Where beneficiaries have few rows on average, measured on the stored dimension,
+that is done as it stands. Else the look-up gives each id *one* key, the least
+of its rows; segments are rolled up on integer keys, with unknown ids under the
+key NULL as they should be; and only the claims, a fraction of the segments, are
+multiplied by the rows of their beneficiary. Both ways give the same rows.
 """
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +23,7 @@ from medclaims.operators.keys import with_surrogate_key
 from medclaims.schemas import AMOUNT
 from medclaims.sources.tables import TableStore
 
-# column of the claims -> what it identifies
-ID_COLUMNS = {"DESYNPUF_ID": "patient", "PRVDR_NUM": "provider", "ICD9_DGNS_CD_1": "diagnosis"}
+ID_COLUMNS = ["DESYNPUF_ID", "PRVDR_NUM", "ICD9_DGNS_CD_1"]
 KEY_COLUMNS = ["patient_key", "provider_key", "primary_diagnosis_key"]
 
 # fact column -> raw column; each is the MAX over the segments (A2, A3)
@@ -78,28 +77,61 @@ FACT_COLUMNS = ["claim_key", *FACT_SCHEMA.names]
 FACT_ORDER = ["claim_id", "claim_type", "patient_key", "provider_key", "primary_diagnosis_key"]
 
 
+# how the join values of rows without an id begin
+_NO_ID = "\0"
+# patient rows of an id, on average, from which on claims are multiplied rather than segments
+MANY_ROWS = 2.0
+
+
 class Dimensions:
-    """The three looked-up dimensions, as (id, key) pairs.
+    """The three looked-up dimensions.
 
     They are read back from written tables, so that Spark plans each look-up
     from a known size: a broadcast below its limit, a shuffled join above.
     """
 
     def __init__(self, patients: DataFrame, providers: DataFrame, diagnoses: DataFrame):
-        self.keys = {
-            "DESYNPUF_ID": patients.select(F.col("patient_id").alias("DESYNPUF_ID"), "patient_key"),
-            "PRVDR_NUM": providers.select(F.col("provider_id").alias("PRVDR_NUM"), "provider_key"),
-            "ICD9_DGNS_CD_1": diagnoses.select(
-                F.col("icd9_code").alias("ICD9_DGNS_CD_1"), F.col("diagnosis_key").alias("primary_diagnosis_key")
-            ),
-        }
+        self.patients = patients.select(F.col("patient_id").alias("DESYNPUF_ID"), "patient_key")
+        self.providers = providers.select(F.col("provider_id").alias("PRVDR_NUM"), "provider_key")
+        self.diagnoses = diagnoses.select(
+            F.col("icd9_code").alias("ICD9_DGNS_CD_1"), F.col("diagnosis_key").alias("primary_diagnosis_key")
+        )
+
+    @cached_property
+    def rows_per_patient(self) -> float:
+        """About how many rows an id has; it decides on the plan only, never on the result."""
+        rows, ids = self.patients.agg(F.count("DESYNPUF_ID"), F.approx_count_distinct("DESYNPUF_ID")).first()
+        return rows / ids if ids else 0.0
+
+    @property
+    def multiplies_claims(self) -> bool:
+        return self.rows_per_patient > MANY_ROWS
+
+    @property
+    def first_rows(self) -> DataFrame:
+        """One key for each patient id, the least."""
+        return self.patients.where(F.col("DESYNPUF_ID").isNotNull()).groupBy("DESYNPUF_ID").agg(
+            F.min("patient_key").alias("patient_key")
+        )
+
+    @property
+    def all_rows(self) -> DataFrame:
+        """(patient_key, own_key): all keys of each id by its least."""
+        own = self.patients.withColumnRenamed("patient_key", "own_key")
+        return own.join(self.first_rows, "DESYNPUF_ID").drop("DESYNPUF_ID")
+
+    @property
+    def look_ups(self) -> dict[str, DataFrame]:
+        """Id column of the claims -> (id, key)."""
+        patients = self.first_rows if self.multiplies_claims else self.patients
+        return {"DESYNPUF_ID": patients, "PRVDR_NUM": self.providers, "ICD9_DGNS_CD_1": self.diagnoses}
 
 
 def roll_up(claims: DataFrame, measures: dict[str, str], by: Sequence[str]) -> DataFrame:
-    """A2, A3: one row per claim and ids, or keys; MAX of each measure, distinct segments.
+    """A2, A3: one row per claim and keys; MAX of each measure, distinct segments.
 
-    Spark plans the single DISTINCT by shuffling on (claim, ids, segment) and
-    combining again before it shuffles on (claim, ids), so one claim with very
+    Spark plans the single DISTINCT by shuffling on (claim, keys, segment) and
+    combining again before it shuffles on (claim, keys), so one claim with very
     many segments is still spread over tasks.
     """
     return claims.groupBy("CLM_ID", *by).agg(
@@ -108,40 +140,35 @@ def roll_up(claims: DataFrame, measures: dict[str, str], by: Sequence[str]) -> D
     )
 
 
-def look_up_keys(claims: DataFrame, dims: Dimensions) -> DataFrame:
-    """LEFT equi joins from ids to keys; unmatched ids get NULL keys."""
-    for column, keys in dims.keys.items():
-        claims = claims.join(keys, column, "left")
-    return claims
-
+def look_up(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """LEFT equi join from an id to its key; unmatched ids get NULL.
 
-def _by_claim(rows: DataFrame, claims: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join; a NULL claim id is a claim like any other."""
-    return rows.join(claims.select(F.col("CLM_ID").alias("_claim")), F.col("CLM_ID").eqNullSafe(F.col("_claim")), how)
+    Rows without an id match nothing. A shuffled join would bring all of them to
+    one task, so they join by a text of their claim instead, which no id can be:
+    ids of the dimension that begin like it are looked up as themselves by no row.
+    """
+    found = keys.withColumnRenamed(column, "_id")
+    if dict(rows.dtypes)[column] == "string":
+        nothing = F.concat(F.lit(_NO_ID), F.coalesce(F.col("CLM_ID").cast("string"), F.lit("")))
+        found = found.where(~F.startswith("_id", F.lit(_NO_ID)))
+    else:
+        nothing = -1 - F.pmod(F.xxhash64("CLM_ID"), F.lit(1 << 40))
+    return rows.join(found, F.coalesce(column, nothing) == F.col("_id"), "left").drop("_id")
 
 
-def split_claims(rows: DataFrame) -> DataFrame:
-    """Claims of several rows, one of which has an id without a key: few or none."""
-    unmatched = reduce(
-        lambda a, b: a | b, [F.col(i).isNotNull() & F.col(k).isNull() for i, k in zip(ID_COLUMNS, KEY_COLUMNS)]
-    )
-    some = rows.where(unmatched).select("CLM_ID").distinct()
-    return _by_claim(rows.select("CLM_ID"), some, "left_semi").groupBy("CLM_ID").count().where("count > 1").select("CLM_ID")
+def look_up_keys(segments: DataFrame, dims: Dimensions) -> DataFrame:
+    """The three look-ups."""
+    for column, keys in dims.look_ups.items():
+        segments = look_up(segments, keys, column)
+    return segments
 
 
-def _fact_rows(
-    claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions, store: TableStore
-) -> DataFrame:
+def _fact_rows(claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions) -> DataFrame:
     segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
+    rows = roll_up(look_up_keys(segments, dims), measures, KEY_COLUMNS)
+    if dims.multiplies_claims:
+        rows = look_up(rows, dims.all_rows, "patient_key").withColumn("patient_key", F.coalesce("own_key", "patient_key"))
     columns = ["CLM_ID", *KEY_COLUMNS, *measures, "segment_count"]
-    # stored: the keys of the fact sample it, and the split claims are told from it
-    rows = store.scratch("claim_rows", look_up_keys(roll_up(segments, measures, list(ID_COLUMNS)), dims))
-    split = store.scratch("split_claims", split_claims(rows))
-    rows = rows.select(*columns)
-    if not split.isEmpty():
-        again = look_up_keys(_by_claim(segments, split, "left_semi"), dims)
-        whole = _by_claim(rows, split, "left_anti")
-        rows = whole.unionByName(roll_up(again, measures, KEY_COLUMNS).select(*columns))
     values = {name: F.col(name) for name in columns}
     values |= {"claim_id": F.col("CLM_ID"), "claim_type": F.lit(claim_type)}
     return rows.select(
@@ -149,20 +176,21 @@ def _fact_rows(
     )
 
 
-def fact_inpatient(inpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
+def fact_inpatient(inpatient: DataFrame, dims: Dimensions) -> DataFrame:
     """Fact rows of inpatient claims, without claim_key."""
-    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims, store)
+    return _fact_rows(inpatient, V.INPATIENT, INPATIENT_MEASURES, dims)
 
 
-def fact_outpatient(outpatient: DataFrame, dims: Dimensions, store: TableStore) -> DataFrame:
+def fact_outpatient(outpatient: DataFrame, dims: Dimensions) -> DataFrame:
     """Fact rows of outpatient claims; stay, DRG, admission, coinsurance and
     physicians stay NULL."""
-    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims, store)
+    return _fact_rows(outpatient, V.OUTPATIENT, OUTPATIENT_MEASURES, dims)
 
 
 def fact_claims(
     inpatient: DataFrame, outpatient: DataFrame, dims: Dimensions, store: TableStore
 ) -> DataFrame:
     """Both sides in one fact with its surrogate key."""
-    rows = fact_inpatient(inpatient, dims, store).unionByName(fact_outpatient(outpatient, dims, store))
-    return with_surrogate_key(rows, "claim_key", FACT_ORDER, store)
+    rows = fact_inpatient(inpatient, dims).unionByName(fact_outpatient(outpatient, dims))
+    # stored, for the keys sample it before they sort it
+    return with_surrogate_key(store.scratch("claim_rows", rows), "claim_key", FACT_ORDER, store)

@@ -9,8 +9,9 @@ from medclaims.functions import calendar as cal
 def current_state(log: DataFrame) -> DataFrame:
     """One row per run, as if its outcome had updated its first row.
 
-    The run keeps its first log_id; all else comes from its newest transition: an
-    ended one before a running one, then the higher log_id. A max over a struct
+    A run is known by its ``run_id``; transitions without one, by job and start. It
+    keeps its first log_id; all else comes from its newest transition: an ended one
+    before a running one, then the higher log_id. A max over a struct
     combines before the shuffle, so even a hot (job, start) stays spread.
     """
     newest = F.struct(
@@ -18,7 +19,7 @@ def current_state(log: DataFrame) -> DataFrame:
         F.col("log_id").alias("newest_id"),
         "end_time", "status", "rows_processed", "error_message",
     )
-    runs = log.groupBy("job_name", "start_time").agg(
+    runs = log.groupBy("run_id", "job_name", "start_time").agg(
         F.min("log_id").alias("log_id"), F.max(newest).alias("newest")
     )
     return runs.select(

@@ -13,7 +13,7 @@ _ROW_BITS = 33
 
 
 def with_surrogate_key(
-    df: DataFrame, name: str, order_by: Sequence[str | Column], store: TableStore
+    df: DataFrame, name: str, order_by: Sequence[str | Column], store: TableStore, distinct: bool = False
 ) -> DataFrame:
     """K1: ``name`` = 1..n in ``order_by`` order (a string sorts ascending, NULLs first).
 
@@ -24,11 +24,14 @@ def with_surrogate_key(
     the (sampled) range bounds, so both passes see the same partitions.
 
     ``order_by`` must tell all rows apart; then the keys do not depend on the
-    number of partitions, and hot leading values are still split.
+    number of partitions, and hot leading values are still split. With ``distinct``
+    it must name all columns, and repeated rows are dropped: they meet in the range
+    partition that numbers them, so that takes no shuffle of its own.
     """
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
+    ranged = df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(*order)
+        (ranged.distinct() if distinct else ranged)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
@@ -59,3 +62,54 @@ def with_rank(
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in partition_by])
         numbered, first = numbered.join(firsts, same), F.col("_first")
     return numbered.withColumn(name, (F.col("_number") - first + 1).cast("int")).select(*df.columns, name)
+
+
+def with_ranks(
+    df: DataFrame, measures: dict[str, str], tie: str, store: TableStore, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Several ranks at once, each by its own measure from large to small
+    (NULL first), ties by ``tie``, which must be unique within a group.
+
+    The rows are stored once. Their measures, stacked as one narrow frame, are
+    numbered in (rank, group, measure, tie) order in one go, and the numbers go back
+    to the rows by row number.
+    """
+    stored = store.scratch("ranked", df.withColumn("_row", F.monotonically_increasing_id()))
+    groups = [F.col(c).alias(f"_{c}") for c in partition_by]
+    stacked = reduce(
+        DataFrame.unionByName,
+        [
+            stored.select(F.lit(i).alias("_rank"), *groups, F.col(m).alias("_measure"), F.col(tie).alias("_tie"), "_row")
+            for i, m in enumerate(measures.values())
+        ],
+    )
+    order = ["_rank", *[f"_{c}" for c in partition_by], F.col("_measure").desc_nulls_first(), "_tie"]
+    numbered = with_surrogate_key(stacked, "_number", order, store).drop("_measure", "_tie")
+    same = ["_rank", *[f"_{c}" for c in partition_by]]
+    firsts = numbered.groupBy(*[F.col(c).alias(f"{c}_") for c in same]).agg(F.min("_number").alias("_first"))
+    joined = numbered.join(firsts, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in same]))
+    rank = (F.col("_number") - F.col("_first") + 1).cast("int")
+    ranks = joined.groupBy("_row").agg(
+        *[F.max(F.when(F.col("_rank") == i, rank)).alias(name) for i, name in enumerate(measures)]
+    )
+    return stored.join(ranks, "_row").select(*df.columns, *measures)
+
+
+def identity_of(columns: Sequence[str]) -> Column:
+    """A digest that tells rows apart by ``columns``, NULLs included."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
+def with_stable_key(
+    df: DataFrame, name: str, order_by: Sequence[str], identity: Sequence[str], known: DataFrame, store: TableStore
+) -> DataFrame:
+    """K1 on a reload: rows in ``known`` (identity, key) keep their keys, the others
+    are numbered after all keys ever given, so no key ever changes its meaning.
+    """
+    old = known.select(F.col("identity").alias("_identity"), F.col(name))
+    matched = df.withColumn("_identity", identity_of(identity)).join(old, "_identity", "left")
+    matched = store.scratch("matched", matched.drop("_identity"))
+    last = known.agg(F.max(name)).first()[0] or 0
+    new = with_surrogate_key(matched.where(F.col(name).isNull()).drop(name), name, order_by, store)
+    kept = matched.where(F.col(name).isNotNull()).select(name, *df.columns)
+    return kept.unionByName(new.withColumn(name, F.col(name) + last))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from medclaims import fixed_values as V
 from medclaims.functions import calendar as cal
 from medclaims.functions import measures
-from medclaims.operators.keys import with_rank
+from medclaims.operators.keys import with_ranks
 from medclaims.sources.tables import TableStore
 
 
@@ -51,10 +51,6 @@ def mart_monthly_etl(monthly: DataFrame) -> DataFrame:
     return monthly.drop("total_utilization_days")
 
 
-def _descending(column: str):
-    return F.col(column).desc_nulls_first()
-
-
 def mart_diagnosis_etl(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
     """Code x claim type, without ranks.
 
@@ -78,11 +74,8 @@ def mart_diagnosis_etl(fact: DataFrame, diagnoses: DataFrame) -> DataFrame:
 
 def mart_diagnosis(fact: DataFrame, diagnoses: DataFrame, store: TableStore) -> DataFrame:
     """Ranked by cost and by volume within the claim type; ties by code."""
-    mart = mart_diagnosis_etl(fact, diagnoses)
-    for name, measure in (("rank_by_cost", "total_paid"), ("rank_by_volume", "claim_count")):
-        order = [_descending(measure), F.col("icd9_code").asc()]
-        mart = with_rank(mart, name, order, store, ["claim_type"])
-    return mart
+    ranks = {"rank_by_cost": "total_paid", "rank_by_volume": "claim_count"}
+    return with_ranks(mart_diagnosis_etl(fact, diagnoses), ranks, "icd9_code", store, ["claim_type"])
 
 
 def mart_provider_etl(fact: DataFrame, providers: DataFrame) -> DataFrame:
@@ -109,8 +102,5 @@ def mart_provider_etl(fact: DataFrame, providers: DataFrame) -> DataFrame:
 
 def mart_provider(fact: DataFrame, providers: DataFrame, store: TableStore) -> DataFrame:
     """Ranked by revenue and by volume over all providers; ties by provider."""
-    mart = mart_provider_etl(fact, providers)
-    for name, measure in (("revenue_rank", "total_revenue"), ("volume_rank", "total_claims")):
-        order = [_descending(measure), F.col("provider_id").asc()]
-        mart = with_rank(mart, name, order, store)
-    return mart
+    ranks = {"revenue_rank": "total_revenue", "volume_rank": "total_claims"}
+    return with_ranks(mart_provider_etl(fact, providers), ranks, "provider_id", store)

@@ -1,16 +1,18 @@
 """Logged refresh jobs over stored tables."""
 
 import uuid
+import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from medclaims import fixed_values as V
 from medclaims import schemas
-from medclaims.operators import dims, fact, marts, quality
+from medclaims.operators import fact, marts, quality
 from medclaims.plans import star
 from medclaims.plans.star import Layers
 from medclaims.sources import csv_load
@@ -18,6 +20,7 @@ from medclaims.sources.tables import TableStore
 
 ETL_JOB_LOG = "ETL_JOB_LOG"
 DATA_QUALITY_LOG = "DATA_QUALITY_LOG"
+LOAD_RESULT = "LOAD_RESULT"
 
 
 def utc_now() -> datetime:
@@ -58,44 +61,59 @@ class JobResult:
     counts: dict[str, int] = field(default_factory=dict)
 
 
+def new_run_id() -> str:
+    return uuid.uuid4().hex
+
+
 def _next_id(log: DataFrame, column: str) -> int:
     return log.agg(F.coalesce(F.max(column), F.lit(0)) + 1).first()[0]
 
 
-def _log_transition(ctx: JobContext, job: str, start: datetime, status: str, **values) -> None:
-    """L1: append one row; the log is never updated in place."""
-    row = {"job_name": job, "start_time": start, "status": status, **values}
-    row["log_id"] = _next_id(ctx.job_log, "log_id")
+def log_id(start: datetime, run_id: str) -> int:
+    """L1: a number that orders runs by start, and by run id within a millisecond; the log is not read for it."""
+    millis = int((start - datetime(1970, 1, 1)).total_seconds() * 1000)
+    return (millis << 20) | (zlib.crc32(run_id.encode()) >> 12)
+
+
+def log_transition(ctx: JobContext, run_id: str, job: str, start: datetime, status: str, **values) -> bool:
+    """L1: append one row; the log is never updated in place.
+
+    A run enters each status once, so a transition that is written again adds nothing.
+    """
+    row = {"job_name": job, "start_time": start, "status": status, "run_id": run_id, **values}
+    row["log_id"] = log_id(start, run_id)
     record = tuple(row.get(name) for name in schemas.ETL_JOB_LOG.names)
-    ctx.logs.append(ETL_JOB_LOG, ctx.store.spark.createDataFrame([record], schemas.ETL_JOB_LOG).coalesce(1))
+    rows = ctx.store.spark.createDataFrame([record], schemas.ETL_JOB_LOG).coalesce(1)
+    return ctx.logs.append(ETL_JOB_LOG, rows, f"{run_id}-{status}")
 
 
 def _run_logged(
     ctx: JobContext, job: str, work: Callable[[], tuple[int, dict[str, int]]], text: str, strict: bool
 ) -> JobResult:
-    """RUNNING, then SUCCESS or FAILED. A failure is returned as text; ``strict`` raises it too."""
-    start = ctx.clock()
-    _log_transition(ctx, job, start, V.RUNNING)
+    """RUNNING, then SUCCESS or FAILED. A failure is returned as text; ``strict`` raises it too.
+
+    The job's tables appear together when it has succeeded.
+    """
+    start, run_id = ctx.clock(), new_run_id()
+    log_transition(ctx, run_id, job, start, V.RUNNING)
     try:
-        with ctx.store.scope():
+        with ctx.store.scope(), ctx.store.transaction():
             rows, counts = work()
     except Exception as error:
-        _log_transition(
-            ctx, job, start, V.FAILED, end_time=ctx.clock(), error_message=str(error)
-        )
+        log_transition(ctx, run_id, job, start, V.FAILED, end_time=ctx.clock(), error_message=str(error))
         if strict:
             raise
         return JobResult(V.TEXT_JOB_FAILED.format(error=error), ok=False)
-    _log_transition(ctx, job, start, V.SUCCESS, end_time=ctx.clock(), rows_processed=rows)
+    log_transition(ctx, run_id, job, start, V.SUCCESS, end_time=ctx.clock(), rows_processed=rows)
     return JobResult(text.format(rows=rows), True, rows, counts)
 
 
 def load_dim_patients(ctx: JobContext, dedup: str = "literal", strict: bool = False) -> JobResult:
-    """Rebuild the patient dimension from the beneficiary table."""
+    """Rebuild the patient dimension from the beneficiary table. Rows that were there keep their keys."""
     def work():
-        beneficiary = ctx.store.read(star.BENEFICIARY_SUMMARY)
-        patients = dims.dim_patients(beneficiary, ctx.store, dedup)
-        rows = ctx.store.replace(star.DIM_PATIENTS, patients).count()
+        layers = Layers(ctx.store, dedup)
+        layers.build(star.DIM_PATIENTS)
+        rows = layers.table(star.DIM_PATIENTS).count()
         return rows, {star.DIM_PATIENTS: rows}
 
     return _run_logged(ctx, V.JOB_PATIENTS, work, V.TEXT_PATIENTS_LOADED, strict)
@@ -155,15 +173,18 @@ def run_pipeline(
 ) -> JobResult:
     """Patients (by ``dedup``), fact, marts (in ``variant``), in this order.
 
-    Each job turns its failure into text, so by default the pipeline goes on and
-    reports success, as the source system does. ``strict`` stops at the first
-    failure and reports it.
+    All tables appear in one step at the end, so no reader joins a new fact to old
+    patients. Each job turns its failure into text, so by default the pipeline goes on
+    with the table as it was and reports success, as the source system does. ``strict`` stops
+    at the first failure and reports it; then the jobs before it are logged
+    as they ended, but all tables stay as they were.
     """
     results = {}
     try:
-        results[V.JOB_PATIENTS] = load_dim_patients(ctx, dedup, strict)
-        results[V.JOB_FACT] = load_fact_claims(ctx, strict)
-        results[V.JOB_MARTS] = refresh_marts(ctx, variant, strict)
+        with ctx.store.transaction():
+            results[V.JOB_PATIENTS] = load_dim_patients(ctx, dedup, strict)
+            results[V.JOB_FACT] = load_fact_claims(ctx, strict)
+            results[V.JOB_MARTS] = refresh_marts(ctx, variant, strict)
     except Exception as error:
         return JobResult(V.TEXT_PIPELINE_FAILED.format(error=error), ok=False)
     return JobResult(V.TEXT_PIPELINE_DONE, ok=all(r.ok for r in results.values()))
@@ -175,14 +196,14 @@ def run_quality_checks(ctx: JobContext, by_run: bool = False) -> JobResult:
     By default the text counts every check of the last five minutes; ``by_run``
     counts this run only.
     """
-    run_id = uuid.uuid4().hex
+    run_id = new_run_id()
     try:
         now = ctx.clock()
         results = quality.quality_checks(
             ctx.store.read(star.FACT_CLAIMS), ctx.store.read(star.DIM_PATIENTS)
         )
         rows = quality.log_rows(results, now, _next_id(ctx.quality_log, "check_id"), run_id)
-        ctx.logs.append(DATA_QUALITY_LOG, rows.coalesce(1))
+        ctx.logs.append(DATA_QUALITY_LOG, rows.coalesce(1), run_id)
         summary = quality.quality_summary(ctx.quality_log, ctx.clock(), run_id if by_run else None).first()
     except Exception as error:
         return JobResult(V.TEXT_CHECKS_FAILED.format(error=error), ok=False)
@@ -203,23 +224,27 @@ def load_raw(
 ) -> dict[str, int]:
     """Load CSV files into the raw tables; return the rejected rows of each.
 
-    Rejected rows go to ``<table>_REJECTED``. They are counted while the good rows
-    are written, so the files are read a second time only if there are any.
+    Rejected rows go to ``<table>_REJECTED`` with the reason, and ``LOAD_RESULT`` counts
+    both by file. Rejected rows are counted while the good rows are written, so the
+    files are read a second time only if there are any; the counts by file are
+    taken from the written tables. All tables appear together.
     """
-    readers = {
-        star.BENEFICIARY_SUMMARY: (csv_load.read_beneficiary, beneficiary),
-        star.INPATIENT_CLAIMS: (csv_load.read_inpatient, inpatient),
-        star.OUTPATIENT_CLAIMS: (csv_load.read_outpatient, outpatient),
+    schema_of = {
+        star.BENEFICIARY_SUMMARY: (schemas.BENEFICIARY, beneficiary, [csv_load.SOURCE_FILE, csv_load.SOURCE_YEAR]),
+        star.INPATIENT_CLAIMS: (schemas.INPATIENT, inpatient, [csv_load.SOURCE_FILE]),
+        star.OUTPATIENT_CLAIMS: (schemas.OUTPATIENT, outpatient, [csv_load.SOURCE_FILE]),
     }
-    counts = {}
-    for name, (read, paths) in readers.items():
-        observed = Observation()
-        good, rejected = read(ctx.store.spark, paths, on_error, observed)
-        ctx.store.replace(name, good)
-        counts[name] = observed.get["rejected"]
-        if not counts[name]:
-            rejected = ctx.store.spark.createDataFrame([], rejected.schema)
-        ctx.store.replace(f"{name}_REJECTED", rejected)
+    counts, results = {}, []
+    with ctx.store.transaction():
+        for name, (schema, paths, sources) in schema_of.items():
+            observed = Observation()
+            good, rejected = csv_load.load_csv(ctx.store.spark, paths, schema, on_error, observed)
+            loaded = ctx.store.replace(name, good.select(*schema.names, *sources))
+            counts[name] = observed.get["rejected"]
+            if not counts[name]:
+                rejected = ctx.store.spark.createDataFrame([], rejected.schema)
+            results.append(csv_load.load_result(name, loaded, ctx.store.replace(f"{name}_REJECTED", rejected)))
+        ctx.store.replace(LOAD_RESULT, reduce(DataFrame.unionByName, results).coalesce(1))
     return counts
 
 

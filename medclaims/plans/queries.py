@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medclaims import fixed_values as V
+from medclaims import schemas
 from medclaims.operators import audit, dims, fact, feeds, joblog, marts, quality
 from medclaims.plans import job_runs, star
 from medclaims.plans.star import DerivedLayers, derived_layers
@@ -56,12 +57,12 @@ def _claims(layers: DerivedLayers) -> tuple[DataFrame, DataFrame]:
 
 def _fact_inpatient(layers: DerivedLayers) -> DataFrame:
     claims, keys = layers.table(star.INPATIENT_CLAIMS), layers.dimensions()
-    return fact.fact_inpatient(claims, keys, layers.store)
+    return fact.fact_inpatient(claims, keys)
 
 
 def _fact_outpatient(layers: DerivedLayers) -> DataFrame:
     claims, keys = layers.table(star.OUTPATIENT_CLAIMS), layers.dimensions()
-    return fact.fact_outpatient(claims, keys, layers.store)
+    return fact.fact_outpatient(claims, keys)
 
 
 def _monthly(layers: DerivedLayers) -> DataFrame:
@@ -109,6 +110,16 @@ def _csv_rejected(layers: DerivedLayers) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _csv_load_result(layers: DerivedLayers) -> DataFrame:
+    """Rows read, loaded and rejected of every CSV copy, by year where there are years, and why."""
+    parts = []
+    for name, schema in schemas.RAW.items():
+        paths = [csv_copy(layers.store, name, layers.table(name))]
+        good, rejected = csv_load.load_csv(layers.spark, paths, schema)
+        parts.append(csv_load.load_result(name, good, rejected, csv_load.SOURCE_YEAR))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _latest(name: str) -> Query:
     return _over_layers(lambda layers: star.LatestLayers(layers).table(name))
 
@@ -139,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "csv_inpatient": _csv_good(star.INPATIENT_CLAIMS),
     "csv_outpatient": _csv_good(star.OUTPATIENT_CLAIMS),
     "csv_rejected": _over_layers(_csv_rejected),
+    "csv_load_result": _over_layers(_csv_load_result),
     # dimensions
     "dim_date": _over_layers(_calendar_with_claims),
     "dim_patients": _stored(star.DIM_PATIENTS),

@@ -4,8 +4,10 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medclaims.operators import dims, fact, marts
+from medclaims.operators.keys import identity_of
 from medclaims.sources import tpch_claims
 from medclaims.sources.shared_dir import shared_dir
 from medclaims.sources.tables import TableStore
@@ -26,6 +28,8 @@ RAW_TABLES = [BENEFICIARY_SUMMARY, INPATIENT_CLAIMS, OUTPATIENT_CLAIMS]
 STAR_TABLES = [DIM_DATE, DIM_PATIENTS, DIM_PROVIDERS, DIM_DIAGNOSES, FACT_CLAIMS]
 MART_TABLES = [MART_MONTHLY, MART_DIAGNOSIS, MART_PROVIDER]
 
+# dimension -> its surrogate key; the keys given so far are kept beside it over reloads
+KEY_OF = {DIM_PATIENTS: "patient_key", DIM_PROVIDERS: "provider_key", DIM_DIAGNOSES: "diagnosis_key"}
 # the fact is stored by claim type, the one literal filter of the marts
 PARTITIONED_BY = {FACT_CLAIMS: ["claim_type"]}
 
@@ -44,6 +48,7 @@ class Layers:
         self.dedup = dedup
         self.spark = store.spark
         self._built: dict[str, DataFrame] = {}
+        self._known: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """The stored table; built now if it does not exist yet."""
@@ -53,21 +58,46 @@ class Layers:
         return df.select(*fact.FACT_COLUMNS) if name == FACT_CLAIMS else df
 
     def build(self, name: str) -> None:
-        """(Re)write one table from the layer below."""
-        with self.store.scope():
+        """(Re)write one table from the layer below; a dimension together with its keys."""
+        with self.store.scope(), self.store.transaction():
             df = self.builders()[name]()
-            self._built[name] = self.store.replace(name, df, PARTITIONED_BY.get(name, ()))
+            stored = self.store.replace(name, df, PARTITIONED_BY.get(name, ()))
+            known = self._known.pop(name, None)
+            if known is not None:
+                given = known.unionByName(self._keys_of(name, stored)).distinct()
+                self.store.replace(f"{name}_KEYS", given)
+        self._built[name] = stored
+
+    def _keys_of(self, name: str, table: DataFrame) -> DataFrame:
+        """(identity, key) of a dimension's rows; the least key where rows of another variant share an identity."""
+        key = KEY_OF[name]
+        identity = identity_of(dims.identity_columns(key, table.columns, self.dedup))
+        return table.groupBy(identity.alias("identity")).agg(F.min(key).alias(key))
+
+    def known_keys(self, name: str) -> DataFrame | None:
+        """All keys a dimension has given to its rows so far; None before its first build.
+
+        A first build writes no list of keys: the table is the list until it is reloaded.
+        """
+        keys = f"{name}_KEYS"
+        if self.store.exists(keys):
+            self._known[name] = self.store.read(keys)
+        elif self.store.exists(name):
+            self._known[name] = self._keys_of(name, self.store.read(name))
+        return self._known.get(name)
 
     def builders(self) -> dict[str, Callable[[], DataFrame]]:
         table = self.table
         return {
             DIM_DATE: lambda: dims.dim_date(self.spark).coalesce(1),
-            DIM_PATIENTS: lambda: dims.dim_patients(table(BENEFICIARY_SUMMARY), self.store, self.dedup),
+            DIM_PATIENTS: lambda: dims.dim_patients(
+                table(BENEFICIARY_SUMMARY), self.store, self.dedup, self.known_keys(DIM_PATIENTS)
+            ),
             DIM_PROVIDERS: lambda: dims.dim_providers(
-                table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.store
+                table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.store, self.known_keys(DIM_PROVIDERS)
             ),
             DIM_DIAGNOSES: lambda: dims.dim_diagnoses(
-                table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.store
+                table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.store, self.known_keys(DIM_DIAGNOSES)
             ),
             FACT_CLAIMS: lambda: fact.fact_claims(
                 table(INPATIENT_CLAIMS), table(OUTPATIENT_CLAIMS), self.dimensions(), self.store

@@ -103,6 +103,9 @@ OUTPATIENT = T.StructType(
     + _CLAIM_CODES
 )
 
+# raw table -> its declared columns
+RAW = {"BENEFICIARY_SUMMARY": BENEFICIARY, "INPATIENT_CLAIMS": INPATIENT, "OUTPATIENT_CLAIMS": OUTPATIENT}
+
 ETL_JOB_LOG = T.StructType(
     [
         T.StructField("log_id", T.LongType()),
@@ -112,6 +115,7 @@ ETL_JOB_LOG = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("rows_processed", T.LongType()),
         T.StructField("error_message", T.StringType()),
+        T.StructField("run_id", T.StringType()),
     ]
 )
 

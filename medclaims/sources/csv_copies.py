@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 from medclaims import schemas
 from medclaims.sources.tables import TableStore
 
-_SCHEMAS = {
-    "BENEFICIARY_SUMMARY": schemas.BENEFICIARY,
-    "INPATIENT_CLAIMS": schemas.INPATIENT,
-    "OUTPATIENT_CLAIMS": schemas.OUTPATIENT,
-}
 FAULTS = {
     "BENEFICIARY_SUMMARY": ("BENE_COUNTY_CD", "cast(substr(DESYNPUF_ID, 2) as bigint) % 50 = 1", "1000"),
     "INPATIENT_CLAIMS": ("CLM_PMT_AMT", "CLM_ID % 97 = 0", "n/a"),
@@ -30,10 +25,10 @@ def csv_copy(store: TableStore, name: str, table: DataFrame) -> str:
     folder = f"csv/{name}"
     if not store.exists(folder):
         column, faulty, text = FAULTS[name]
-        texts = {c: F.col(c).cast("string") for c in _SCHEMAS[name].names}
+        texts = {c: F.col(c).cast("string") for c in schemas.RAW[name].names}
         texts[column] = F.when(F.expr(faulty), F.lit(text)).otherwise(texts[column])
         years = [F.col("src_year").alias("year")] if "src_year" in table.columns else []
         rows = table.select(*[value.alias(c) for c, value in texts.items()], *years)
         by = ["year"] if years else []
         store.put(folder, lambda path: rows.write.partitionBy(*by).option("header", True).csv(path))
-    return store.path(folder)
+    return store.folder(folder)

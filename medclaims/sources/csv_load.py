@@ -12,6 +12,8 @@ from medclaims import schemas
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "source_file"
 SOURCE_YEAR = "src_year"
+REASON = "reject_reason"
+WRONG_FIELDS = "wrong number of fields"
 # in generated part names, where any four digits may stand
 _UUID = "[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
 _YEAR = r"(?<![0-9A-Fa-f])((?:19|20)\d{2})(?![0-9A-Fa-f])"
@@ -49,7 +51,8 @@ def load_csv(
     A row is rejected when a value does not fit its type, a text is longer than
     declared or the number of fields is wrong. NULL alone is no sign of a bad
     row, since every raw column may be NULL. ``good`` is typed; ``rejected``
-    keeps the texts as they came. ``on_error="abort"`` makes the first bad row
+    keeps the texts as they came, and its ``reject_reason`` names the first faulty
+    column. ``on_error="abort"`` makes the first bad row
     fail the job that reads ``good``. ``observed`` learns the number of
     ``rejected`` rows from the first job that reads ``good``.
 
@@ -66,20 +69,38 @@ def load_csv(
         [_rows(spark, some, texts, _year_of_path() if year is None else F.lit(year)) for year, some in given],
     )
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
-    faults = [F.col(CORRUPT).isNotNull()]
+    faults = [F.when(F.col(CORRUPT).isNotNull(), WRONG_FIELDS)]
     for field in schema.fields:
         text = F.col(field.name)
         if "max_length" in field.metadata:
-            faults.append(text.isNotNull() & (F.length(text) > field.metadata["max_length"]))
+            unfit = F.length(text) > field.metadata["max_length"]
         else:
-            faults.append(text.isNotNull() & typed[field.name].isNull())
-    bad = reduce(lambda a, b: a | b, faults)
+            unfit = text.isNotNull() & typed[field.name].isNull()
+        faults.append(F.when(unfit, field.name))
+    reason = F.coalesce(*faults)
+    bad = reason.isNotNull()
     if on_error == "abort":
         bad = F.when(bad, F.raise_error(F.concat(F.lit("bad row in "), SOURCE_FILE)).cast("boolean")).otherwise(False)
     judged = rows.withColumn(_BAD, bad)
     counted = judged if observed is None else judged.observe(observed, F.count_if(_BAD).alias("rejected"))
     good = counted.where(~F.col(_BAD)).select(*[column.alias(name) for name, column in typed.items()], SOURCE_FILE, SOURCE_YEAR)
-    return good, judged.where(_BAD).drop(_BAD)
+    return good, judged.where(_BAD).drop(_BAD).withColumn(REASON, reason)
+
+
+def load_result(name: str, good: DataFrame, rejected: DataFrame, by: str = SOURCE_FILE) -> DataFrame:
+    """For each file, or year, of a load: rows read, loaded and rejected, and the reason
+    that most rejected rows give first (ties: the least)."""
+    loaded = good.select(by, F.lit(None).cast("string").alias(REASON)).unionByName(rejected.select(by, REASON))
+    by_reason = loaded.groupBy(by, REASON).agg(F.count("*").alias("rows"))
+    is_bad = F.col(REASON).isNotNull()
+    # the largest count first, then the least reason
+    order = F.min(F.when(is_bad, F.struct((-F.col("rows")).alias("rows"), REASON)))
+    return by_reason.groupBy(by).agg(
+        F.sum("rows").alias("rows_read"),
+        F.coalesce(F.sum(F.when(~is_bad, F.col("rows"))), F.lit(0)).alias("rows_loaded"),
+        F.coalesce(F.sum(F.when(is_bad, F.col("rows"))), F.lit(0)).alias("rows_rejected"),
+        order[REASON].alias("main_reason"),
+    ).select(F.lit(name).alias("table_name"), by, "rows_read", "rows_loaded", "rows_rejected", "main_reason")
 
 
 def read_beneficiary(

@@ -51,17 +51,17 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = _events(spark, sf_dir)
     started = events.where("e % 2 = 0").selectExpr(
-        "e div 2 as run", "e", f"{_pick(EVENT_JOBS, '(e div 2) % 3')} as job_name", "ts as start_time"
+        "e div 2 as run", "cast(e div 2 as string) as run_id", "e", f"{_pick(EVENT_JOBS, '(e div 2) % 3')} as job_name", "ts as start_time"
     )
     running = started.selectExpr(
         "e as log_id", "job_name", "start_time", "cast(null as timestamp_ntz) as end_time",
         "'RUNNING' as status", "cast(null as bigint) as rows_processed",
-        "cast(null as string) as error_message",
+        "cast(null as string) as error_message", "run_id",
     )
     ends = events.where("e % 2 = 1").selectExpr("e div 2 as run", "user_id", "event_type = 'error' as failed")
     ended = started.where("e % 10 <> 8").join(ends, "run").selectExpr(
         "e + 1 as log_id", "job_name", "start_time", "start_time + interval 90 seconds as end_time",
         "if(failed, 'FAILED', 'SUCCESS') as status", "if(failed, null, user_id) as rows_processed",
-        "if(failed, 'event reported an error', null) as error_message",
+        "if(failed, 'event reported an error', null) as error_message", "run_id",
     )
     return running.unionByName(ended).select(*schemas.ETL_JOB_LOG.names)

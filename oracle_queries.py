@@ -395,6 +395,16 @@ ORACLE_SQL: dict[str, str] = {
           CASE WHEN is_ip THEN 'n/a' ELSE '0000000' END FROM seg WHERE NOT ({_FIT_CLAIMS})""",
         "bene", "seg",
     ),
+    "csv_load_result": _sql(
+        f"""SELECT table_name, src_year, count(*) AS rows_read, count(*) FILTER (WHERE fit) AS rows_loaded,
+        count(*) FILTER (WHERE NOT fit) AS rows_rejected, max(CASE WHEN NOT fit THEN reason END) AS main_reason
+        FROM (
+          SELECT 'BENEFICIARY_SUMMARY' AS table_name, CAST(yr AS INTEGER) AS src_year, {_FIT_PEOPLE} AS fit, 'BENE_COUNTY_CD' AS reason FROM bene
+          UNION ALL SELECT CASE WHEN is_ip THEN 'INPATIENT_CLAIMS' ELSE 'OUTPATIENT_CLAIMS' END, NULL, {_FIT_CLAIMS},
+            CASE WHEN is_ip THEN 'CLM_PMT_AMT' ELSE 'PRVDR_NUM' END FROM seg
+        ) GROUP BY table_name, src_year""",
+        "bene", "seg",
+    ),
     "dim_date": _sql(
         """SELECT days.*, coalesce(n, 0) AS claims_started FROM days LEFT JOIN
         (SELECT claim_from_date_key AS k, count(*) AS n FROM fact GROUP BY 1) ON k = date_key""",

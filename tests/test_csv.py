@@ -110,3 +110,17 @@ def test_inpatient_reads_its_own_columns(spark, tmp_path):
 
 def test_declared_widths():
     assert [len(s.names) for s in (schemas.BENEFICIARY, schemas.INPATIENT, schemas.OUTPATIENT)] == [31, 33, 29]
+
+
+def test_reasons_and_counts_by_file(spark, tmp_path):
+    first = [_row(), _row(**{f"_{AMOUNT}": "fifty"}), _row(**{f"_{PROVIDER}": "1234567"}), _row(**{f"_{AMOUNT}": "x", f"_{PROVIDER}": "1234567"}),
+             _row() + ",extra"]
+    paths = [_write(tmp_path, "a.csv", first), _write(tmp_path, "b.csv", [_row()] * 3), _write(tmp_path, "c.csv", [",".join(["1"] * 40)])]
+    good, rejected = csv_load.load_csv(spark, paths, schemas.OUTPATIENT)
+    reasons = sorted((r.source_file, r.reject_reason) for r in rejected.collect())
+    # the first faulty column in order of the schema
+    first_of_both = min("CLM_PMT_AMT", "PRVDR_NUM", key=schemas.OUTPATIENT.names.index)
+    assert reasons == sorted([("a.csv", "CLM_PMT_AMT"), ("a.csv", "PRVDR_NUM"), ("a.csv", first_of_both), ("a.csv", csv_load.WRONG_FIELDS),
+                              ("c.csv", csv_load.WRONG_FIELDS)])
+    result = [tuple(r) for r in csv_load.load_result("T", good, rejected).orderBy("source_file").collect()]
+    assert result == [("T", "a.csv", 5, 1, 4, first_of_both), ("T", "b.csv", 3, 3, 0, None), ("T", "c.csv", 1, 0, 1, csv_load.WRONG_FIELDS)]

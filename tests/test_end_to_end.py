@@ -32,7 +32,12 @@ def test_csv_files_to_marts(spark, store, tmp_path):
     ctx = jobs.JobContext(store, Clock())
     rejected = jobs.load_raw(ctx, **paths)
     assert rejected == {star.BENEFICIARY_SUMMARY: 0, star.INPATIENT_CLAIMS: 1, star.OUTPATIENT_CLAIMS: 0}
-    assert store.read(f"{star.INPATIENT_CLAIMS}_REJECTED").count() == 1
+    assert [r.reject_reason for r in store.read(f"{star.INPATIENT_CLAIMS}_REJECTED").collect()] == ["wrong number of fields"]
+    by_file = {r.source_file: (r.rows_read, r.rows_loaded, r.rows_rejected, r.main_reason) for r in store.read(jobs.LOAD_RESULT).collect()}
+    assert by_file == {
+        "beneficiary_2008.csv": (150, 150, 0, None), "beneficiary_2009.csv": (150, 150, 0, None), "beneficiary_2010.csv": (150, 150, 0, None),
+        "inpatient.csv": (733, 732, 1, "wrong number of fields"), "outpatient.csv": (5268, 5268, 0, None),
+    }
     assert store.read(f"{star.OUTPATIENT_CLAIMS}_REJECTED").count() == 0
     jobs.build_all(ctx)
 

@@ -2,6 +2,8 @@ import random
 from collections import defaultdict
 from decimal import Decimal as D
 
+import pytest
+
 from medclaims.operators import fact as ops
 
 
@@ -87,7 +89,10 @@ def _brute_force(segments, patients, providers, codes):
     }
 
 
-def test_against_brute_force_with_hot_values(raw, store):
+@pytest.mark.parametrize("many_rows", [0.0, 100.0])
+def test_against_brute_force_with_hot_values(raw, store, monkeypatch, many_rows):
+    """Claims multiplied after the roll-up, and segments before it."""
+    monkeypatch.setattr(ops, "MANY_ROWS", many_rows)
     rng = random.Random(5)
     patients = {f"P{i}": [2 * i, 2 * i + 1][: 1 + i % 2] for i in range(1, 8)}
     providers = {f"{i:06}": i for i in range(1, 5)}

@@ -104,21 +104,16 @@ def test_a_failing_job_is_logged_and_hidden(ctx, monkeypatch):
     assert sorted(map(tuple, ctx.store.read(star.FACT_CLAIMS).collect()), key=str) == before
 
 
-def test_strict_stops_at_the_first_failure(ctx, monkeypatch):
+def test_strict_stops_at_the_first_failure(ctx, monkeypatch, raw):
+    before = {name: ctx.store.folder(name) for name in (star.DIM_PATIENTS, star.FACT_CLAIMS, *star.MART_TABLES)}
     _break(monkeypatch)
     result = jobs.run_pipeline(ctx, strict=True)
+    # no table has changed, the reloaded patients included
+    assert {name: ctx.store.folder(name) for name in before} == before
     assert result.message == f"Pipeline FAILED: {LONG_TEXT}" and not result.ok
     assert [row[1] for row in _log(ctx)] == ["SUCCESS", "FAILED"]
 
 
-def test_a_write_that_fails_keeps_the_old_table(spark, store):
-    store.replace("T", spark.range(3))
-    broken = spark.range(5).select(F.raise_error(F.lit("bad row")).cast("bigint").alias("id"))
-    with pytest.raises(Exception, match="bad row"):
-        store.replace("T", broken)
-    assert store.read("T").count() == 3
-
-
 def test_a_table_can_be_replaced_from_itself(store, spark):
     store.replace("T", spark.range(3))
     store.replace("T", store.read("T").where("id > 0"))
@@ -131,6 +126,83 @@ def test_reloading_patients_keeps_their_keys(ctx):
     assert sorted(map(tuple, ctx.store.read(star.DIM_PATIENTS).collect()), key=str) == before
 
 
+def _people(raw, *names, **values):
+    return raw.beneficiary([{"DESYNPUF_ID": n, "BENE_BIRTH_DT": 19400101, "BENE_HMO_CVRAGE_TOT_MONS": values.get(n)} for n in names])
+
+
+def _patient_keys(ctx):
+    return {r.patient_id: r.patient_key for r in ctx.store.read(star.DIM_PATIENTS).collect()}
+
+
+def test_a_new_beneficiary_shifts_no_key(ctx, raw):
+    """One that sorts first, one that goes and comes back: the fact loaded before stays valid."""
+    before, claims = _patient_keys(ctx), ctx.store.read(star.FACT_CLAIMS)
+    for names in ("0ABC", "0AC", "01ABCZ"):
+        ctx.store.replace(star.BENEFICIARY_SUMMARY, _people(raw, *names))
+        assert jobs.load_dim_patients(ctx, strict=True).rows_processed == len(names)
+        found = _patient_keys(ctx)
+        assert set(found) == set(names) and len(set(found.values())) == len(names)
+        assert {n: k for n, k in found.items() if n in before} == {n: k for n, k in before.items() if n in names}
+    [orphans] = quality.quality_checks(claims, ctx.store.read(star.DIM_PATIENTS), [quality.ORPHANS]).collect()
+    assert orphans.records_failed == 0
+    # what was given once is not given again
+    assert found["0"] == 4 and sorted(found.values()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_a_changed_row_is_new_but_a_changed_beneficiary_is_not(ctx, raw):
+    ctx.store.replace(star.BENEFICIARY_SUMMARY, _people(raw, *"ABC", B=5))
+    jobs.load_dim_patients(ctx, strict=True)
+    assert _patient_keys(ctx) == {"A": 1, "B": 4, "C": 3}
+    years = [{"DESYNPUF_ID": n, "BENE_BIRTH_DT": 19400101, "BENE_HMO_CVRAGE_TOT_MONS": m, "src_year": 2008} for n, m in zip("ABC", (1, 2, 3))]
+    for month in (0, 7):
+        years[0]["BENE_HMO_CVRAGE_TOT_MONS"] = month
+        ctx.store.replace(star.BENEFICIARY_SUMMARY, raw.beneficiary(years, year_column=True))
+        jobs.load_dim_patients(ctx, dedup="latest", strict=True)
+        found = _patient_keys(ctx)
+        assert found == {"A": 5, "B": 6, "C": 7}
+
+
+def test_other_dimensions_keep_their_keys_too(ctx, raw):
+    before = {r.provider_id: r.provider_key for r in ctx.store.read(star.DIM_PROVIDERS).collect()}
+    early = _segments()[:8] + [{"CLM_ID": 99, "SEGMENT": 1, "PRVDR_NUM": "00", "ICD9_DGNS_CD_1": "001"}]
+    ctx.store.replace(star.INPATIENT_CLAIMS, raw.inpatient(early))
+    for name in (star.DIM_PROVIDERS, star.DIM_DIAGNOSES):
+        ctx.layers.build(name)
+    found = {r.provider_id: r.provider_key for r in ctx.store.read(star.DIM_PROVIDERS).collect()}
+    assert found == before | {"00": 4}
+    assert {r.icd9_code: r.diagnosis_key for r in ctx.store.read(star.DIM_DIAGNOSES).collect()} == {"4280": 1, "001": 2}
+
+
+def test_runs_of_one_job_with_one_start_stay_apart(store):
+    """Two jobs interleaved on one log, with equal clocks; a transition that is written twice."""
+    ctx = jobs.JobContext(store, Clock())
+    start = ctx.clock()
+    for status, end in ((V.RUNNING, None), (V.SUCCESS, start + timedelta(seconds=9))):
+        for run, rows in (("run-a", 1), ("run-b", 2), ("run-a", 1)):
+            values = {"end_time": end, "rows_processed": rows} if end else {}
+            jobs.log_transition(ctx, run, V.JOB_FACT, start, status, **values)
+    assert ctx.job_log.count() == 4
+    current = joblog.current_state(ctx.job_log).collect()
+    assert sorted((r.job_name, r.status, r.rows_processed) for r in current) == [(V.JOB_FACT, V.SUCCESS, 1), (V.JOB_FACT, V.SUCCESS, 2)]
+    assert len({r.log_id for r in current}) == 2
+    assert jobs.log_id(start, "x") < jobs.log_id(start + timedelta(milliseconds=1), "a") < 1 << 63
+
+
+def test_readers_see_the_pipeline_as_one_step(ctx, monkeypatch, raw):
+    """A reader that looks in while the fact is loaded finds old patients with the old fact."""
+    ctx.store.replace(star.BENEFICIARY_SUMMARY, _people(raw, *"0ABC"))
+    reader, seen = TableStore(ctx.store.spark, ctx.store.root), []
+    load = fact.fact_claims
+
+    def looked_at(*args):
+        seen.append((reader.read(star.DIM_PATIENTS).count(), ctx.store.read(star.DIM_PATIENTS).count()))
+        return load(*args)
+
+    monkeypatch.setattr(fact, "fact_claims", looked_at)
+    assert jobs.run_pipeline(ctx, strict=True).ok
+    assert seen == [(3, 4)] and reader.read(star.DIM_PATIENTS).count() == 4
+
+
 def test_providers_are_not_refreshed_by_the_pipeline(raw, ctx):
     late = _segments()[:8] + [{"CLM_ID": 99, "SEGMENT": 1, "DESYNPUF_ID": "A", "PRVDR_NUM": "999999"}]
     ctx.store.replace(star.INPATIENT_CLAIMS, raw.inpatient(late))

@@ -48,21 +48,45 @@ def test_providers_take_one_shuffle_and_no_join(layers):
     assert text.count("PushedFilters: [IsNotNull(PRVDR_NUM)]") == 2
 
 
-def test_roll_up_spreads_and_precedes_the_look_ups(spark, layers):
-    _, op, keys = _tables(layers)
-    segments = op.select("CLM_ID", "SEGMENT", *fact.ID_COLUMNS, *fact.OUTPATIENT_MEASURES.values())
+def _outpatient_plan(spark, op, keys):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(fact.look_up_keys(fact.roll_up(segments, fact.OUTPATIENT_MEASURES, list(fact.ID_COLUMNS)), keys))
+        return plan(fact.fact_outpatient(op, keys))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_claims_are_multiplied_last_where_patients_have_many_rows(spark, layers, monkeypatch):
+    _, op, keys = _tables(layers)
+    monkeypatch.setattr(fact, "MANY_ROWS", 1.0)
+    text = _outpatient_plan(spark, op, keys)
     # nothing depends on a broadcast
     assert "BroadcastHashJoin" not in text and "SinglePartition" not in text and "Expand" not in text
-    # three joins, all above the first aggregation
+    # three look-ups below the roll-up, the beneficiaries' other rows above it
     above, below = text.split("HashAggregate", 1)
-    assert above.count("SortMergeJoin") == 3 and "Join" not in below
-    # the first shuffle is on claim, ids and segment
-    assert re.search(r"hashpartitioning\(CLM_ID#\S+, DESYNPUF_ID#\S+, PRVDR_NUM#\S+, ICD9_DGNS_CD_1#\S+, SEGMENT#", text)
+    assert above.count("SortMergeJoin") == 1 and below.count("SortMergeJoin") == 4
+    # the roll-up is on integer keys, and its first shuffle is spread by segment, too
+    assert re.search(r"hashpartitioning\(CLM_ID#\S+, patient_key#\S+, provider_key#\S+, primary_diagnosis_key#\S+, SEGMENT#", text)
+    # rows without an id are dealt out
+    for column in ("DESYNPUF_ID", "PRVDR_NUM", "ICD9_DGNS_CD_1", "patient_key"):
+        assert re.search(rf"hashpartitioning\({column}#\d+L?, _dealt#", text)
+
+
+def test_segments_are_multiplied_where_patients_have_few_rows(spark, layers):
+    _, op, keys = _tables(layers)
+    assert 1.5 < keys.rows_per_patient < fact.MANY_ROWS
+    text = _outpatient_plan(spark, op, keys)
+    assert text.count("SortMergeJoin") == 3 and "Join" not in text.split("SortMergeJoin", 1)[0]
+    for column in ("DESYNPUF_ID", "PRVDR_NUM", "ICD9_DGNS_CD_1"):
+        assert re.search(rf"hashpartitioning\({column}#\d+L?, _dealt#", text)
+
+
+def test_both_fact_plans_give_the_same_rows(layers, monkeypatch):
+    ip, op, keys = _tables(layers)
+    expected = sorted(map(str, layers.table(star.FACT_CLAIMS).collect()))
+    monkeypatch.setattr(fact, "MANY_ROWS", 1.0)
+    rebuilt = fact.fact_claims(ip, op, keys, layers.store).select(*fact.FACT_COLUMNS)
+    assert sorted(map(str, rebuilt.collect())) == expected
 
 
 def test_results_do_not_depend_on_broadcasts(spark, layers):
@@ -88,13 +112,28 @@ def test_marts_do_not_multiply_rows(layers):
     assert re.search(r"hashpartitioning\(primary_diagnosis_key#\S+, claim_type#\S+, patient_key#", diagnosis)
 
 
+def test_patients_take_one_shuffle(layers):
+    """The range partitioning that sorts and numbers the rows also brings equal ones together."""
+    rows = layers.table(star.BENEFICIARY_SUMMARY).select(*dims.patient_attributes(layers.table(star.BENEFICIARY_SUMMARY)))
+    text = plan(rows.repartitionByRange(*rows.columns).distinct().sortWithinPartitions(*rows.columns))
+    assert text.count("Exchange") == 1 and "rangepartitioning" in text and text.count("HashAggregate") == 2
+    written = []
+    store = layers.store
+    scratch, store.scratch = store.scratch, lambda label, df: written.append(plan(df)) or scratch(label, df)
+    try:
+        dims.dim_patients(layers.table(star.BENEFICIARY_SUMMARY), store)
+    finally:
+        store.scratch = scratch
+    assert [t.count("Exchange") for t in written] == [1]
+
+
 def test_large_ranks_take_no_single_task(layers):
     text = plan(
         marts.mart_provider(layers.table(star.FACT_CLAIMS), layers.table(star.DIM_PROVIDERS), layers.store)
     )
     # only the partition sizes, one row each, are brought together
     windows = re.findall(r"Window \[.*", text)
-    assert len(windows) == 1 and "_rows" in windows[0]
+    assert windows and all("_rows" in window for window in windows)
 
 
 def test_surrogate_keys_gather_partition_sizes_only(layers):

@@ -1,12 +1,15 @@
 import os
 import subprocess
 import sys
+from datetime import timedelta
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from medclaims.sources.shared_dir import CHECKPOINT_SETTING, shared_dir
+from medclaims.sources.tables import TableStore
 
 
 class _Conf(dict):
@@ -63,3 +66,116 @@ def test_partitioned_table_keeps_its_types(spark, store):
     stored = store.replace("T", df, ["kind"])
     assert sorted((r.id, r.kind) for r in stored.collect()) == [(0, "01"), (1, "02"), (2, "01"), (3, "02")]
     assert sorted((r.id, r.kind) for r in store.replace("T", df.limit(0), ["kind"]).collect()) == []
+
+
+def _ids(df):
+    return sorted(r.id for r in df.collect())
+
+
+def test_a_reader_keeps_the_version_it_began_with(spark, store):
+    store.replace("T", spark.range(3))
+    before = store.read("T")
+    store.replace("T", spark.range(10, 12))
+    assert _ids(before) == [0, 1, 2] and _ids(store.read("T")) == [10, 11]
+
+
+def test_a_failed_write_changes_nothing(spark, store):
+    store.replace("T", spark.range(3))
+    broken = spark.range(5).select(F.raise_error(F.lit("bad row")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="bad row"):
+        store.replace("T", broken)
+    assert _ids(store.read("T")) == [0, 1, 2]
+    assert store.remove_old_versions(older_than=timedelta(0)) == 0  # nor does it leave files
+
+
+def test_writers_that_meet_both_commit(spark, store, monkeypatch):
+    """Another writer takes the next manifest number between our look and our commit."""
+    other = TableStore(spark, store.root)
+    taken = []
+    look = store._manifest_numbers
+
+    def look_then_lose():
+        numbers = look()
+        if not taken:
+            taken.append(1)
+            other.replace("B", spark.range(2))
+        return numbers
+
+    monkeypatch.setattr(store, "_manifest_numbers", look_then_lose)
+    store.replace("A", spark.range(1))
+    assert _ids(other.read("A")) == [0] and _ids(other.read("B")) == [0, 1]
+    assert look() == [1, 2]
+
+
+def test_two_writers_of_one_table_nest_nothing(spark, store):
+    other = TableStore(spark, store.root)
+    for writer, n in ((store, 2), (other, 3), (store, 4)):
+        writer.replace("T", spark.range(n))
+        assert store.read("T").count() == other.read("T").count() == n
+
+
+def test_a_transaction_shows_its_tables_together(spark, store):
+    reader = TableStore(spark, store.root)
+    store.replace("PATIENTS", spark.range(1))
+    store.replace("FACT", spark.range(1))
+    with store.transaction():
+        store.replace("PATIENTS", spark.range(2))
+        assert store.read("PATIENTS").count() == 2  # the writer sees its own
+        assert reader.read("PATIENTS").count() == reader.read("FACT").count() == 1
+        store.replace("FACT", spark.range(2))
+    assert reader.read("PATIENTS").count() == reader.read("FACT").count() == 2
+
+
+def test_a_transaction_that_stops_between_two_tables_changes_none(spark, store):
+    store.replace("PATIENTS", spark.range(1))
+    store.replace("FACT", spark.range(1))
+    with pytest.raises(RuntimeError), store.transaction():
+        store.replace("PATIENTS", spark.range(2))
+        raise RuntimeError("stopped")
+    assert store.read("PATIENTS").count() == store.read("FACT").count() == 1
+    assert store.remove_old_versions(older_than=timedelta(0)) == 0
+
+
+def test_a_part_of_a_transaction_can_fail_alone(spark, store):
+    with store.transaction():
+        store.replace("A", spark.range(1))
+        with pytest.raises(RuntimeError), store.transaction():
+            store.replace("A", spark.range(2))
+            store.replace("B", spark.range(2))
+            raise RuntimeError("part")
+        assert store.read("A").count() == 1 and not store.exists("B")
+        with store.transaction():
+            store.replace("C", spark.range(3))
+    assert store.read("A").count() == 1 and not store.exists("B") and store.read("C").count() == 3
+
+
+def test_old_versions_go_when_no_recent_manifest_names_them(spark, store):
+    for n in range(1, 5):
+        store.replace("T", spark.range(n))
+    store.replace("U", spark.range(1))
+    assert store.remove_old_versions() == 0  # all are too young
+    assert store.remove_old_versions(keep=2, older_than=timedelta(0)) == 3
+    assert store.read("T").count() == 4 and store.read("U").count() == 1
+    store.replace("T", spark.range(7))
+    assert store.read("T").count() == 7
+
+
+def test_a_batch_is_appended_once(spark, store):
+    assert store.append("LOG", spark.range(2), "run-1") and not store.append("LOG", spark.range(2), "run-1")
+    assert store.append("LOG", spark.range(5, 6), "run-2") and store.append("LOG", spark.range(6, 7))
+    assert _ids(store.read("LOG")) == _ids(store.read("LOG", spark.range(1).schema)) == [0, 1, 5, 6]
+    assert store.read("LOG").columns == ["id"]
+
+
+def test_a_failed_append_can_be_tried_again(spark, store):
+    broken = spark.range(5).select(F.raise_error(F.lit("bad row")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="bad row"):
+        store.append("LOG", broken, "run-1")
+    assert not store.exists("LOG") or store.read("LOG", spark.range(1).schema).count() == 0
+    store.append("LOG", spark.range(1), "run-1")
+    assert _ids(store.read("LOG")) == [0]
+
+
+def test_a_missing_table_is_named(store):
+    with pytest.raises(FileNotFoundError, match="NONE"):
+        store.read("NONE")
