@@ -4,7 +4,8 @@ A word is ``[^\\x20\\x09-\\x0D]+``, which is what ``bytes.split()`` finds.
 """
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -34,19 +35,57 @@ def llm_store(spark) -> TableStore:
     return TableStore(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/llm")
 
 
+# paths written in each open scope, innermost last
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark) -> Iterator[None]:
+    """What is written by ``scratch`` inside goes away at the end."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        store = llm_store(spark)
+        for path in _scopes.pop():
+            store.remove_path(path)
+
+
+def _note(paths: Iterable[str]) -> None:
+    if _scopes:
+        _scopes[-1].extend(paths)
+
+
 def scratch(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     It is then computed once, has a known size and outlives any executor.
     """
     path = f"{llm_store(df.sparkSession).root}/{label}-{uuid.uuid4().hex}"
+    _note([path])
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, name: str, order_by) -> DataFrame:
     """``name`` = 1..n in ``order_by`` order, by range partitions and their sizes."""
-    return with_surrogate_key(df, name, order_by, llm_store(df.sparkSession))
+    store = llm_store(df.sparkSession)
+    result = with_surrogate_key(df, name, order_by, store)
+    _note(store.scratch_paths())
+    return result
+
+
+def hash_sample(rows: DataFrame, key: Sequence[str], most: int) -> DataFrame:
+    """``most`` rows at most, those whose ``key`` has the least hash, whatever their order.
+
+    Only rows under a cut, set by the exact number of rows so that twice as many lie
+    under it as are wanted, are brought together. ``key`` should tell rows apart.
+    """
+    total = rows.count()
+    place = F.xxhash64(*key)
+    if total > 2 * most:
+        rows = rows.where(place < -(1 << 63) + (1 << 64) * 2 * most // total)
+    return rows.orderBy(place, *key).limit(most)
 
 
 def with_rows(docs: DataFrame, label: str) -> DataFrame:
