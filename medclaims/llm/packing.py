@@ -2,9 +2,9 @@
 
 Documents become token ids and an end id; longer ones are cut. Which lengths
 share a sequence is planned on the histogram of lengths, which has as many
-entries as a sequence has tokens, whatever the corpus size: from long to short,
-each length's gap is looked up among single lengths, then among sums of pairs,
-then of triples, under availability counts, and a combination that fills it
+entries as a sequence has tokens, whatever the corpus size. Sums of single
+lengths, pairs and triples are indexed once; from long to short, each length's gap is
+looked up there, under availability counts, and a combination that fills it
 exactly is used as often as its counts allow. What finds no complement goes
 through best fit, longest first, again on counts.
 
@@ -20,7 +20,7 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -32,48 +32,64 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"
 # words whose ids a worker remembers, twice this many at most
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 _DOCS_AT_ONCE = 256
-_WORD_END = re.compile(rb"(?<=[a-z0-9])([.,])(?=[\x20\x09-\x0D]|\Z)")
+# small Latin-1 letters, which no step before the merges changes
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_PLAIN_ENDS = {bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyz0123456789"}
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class _Known(dict):
+    """Word -> ids as little-endian bytes; a word that is not there is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[bytes], bytes], older: dict[bytes, bytes]):
+        self.encode, self.older = encode, older
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word) or self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Ids of texts as little-endian bytes, word by word.
 
     The tokenizer lower-cases, and splits at white space and between letters and
-    marks before it merges. So the ids of a text are those of its words in order, a full stop or
-    comma that ends a word can be taken as a word of its own, and frequent words are looked up.
-    Words not met for ``CACHED_WORDS`` other ones are forgotten.
+    marks before it merges. So the ids of a text are those of its words in order, and a full stop or
+    comma that ends a word is a word of its own. A word of small letters only
+    goes straight to the merges, in the letters that stand for its bytes there.
+    Frequent words are looked up; those not met for ``CACHED_WORDS`` other ones are forgotten.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    @staticmethod
-    def words(text: bytes) -> list[bytes]:
-        # a special token is found by its exact letters
-        lowered = text if b"<|" in text else text.lower()
-        return _WORD_END.sub(rb" \1", lowered).split()
+        self.model = self.tokenizer.model
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {b: byte_level.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1] for b in range(0x80, 0xC0)}
+        self.known = _Known(self._encoded, {})
+
+    def _encoded(self, word: bytes) -> bytes:
+        if word[-1:] in (b".", b",") and word[-2:-1] in _PLAIN_ENDS:
+            return self.known[word[:-1]] + self.known[word[-1:]]
+        if _PLAIN.fullmatch(word):
+            ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids
+        return array("I", ids).tobytes()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        words = list(map(self.words, texts))
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.older = {}, self.known
-        new = set().union(*words).difference(self.known)
-        self.known.update({word: self.older[word] for word in new.intersection(self.older)})
-        new = list(new.difference(self.older))
-        encoded = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        for word, ids in zip(new, encoded):
-            self.known[word] = array("I", ids.ids).tobytes()
-        for line in words:
-            yield b"".join(map(self.known.__getitem__, line))
+        for text in texts:
+            # a special token is found by its exact letters
+            words = (text if b"<|" in text else text.lower()).split()
+            yield b"".join(map(self.known.__getitem__, words))
+            if len(self.known) > CACHED_WORDS:
+                self.known = _Known(self._encoded, dict(self.known))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -112,30 +128,57 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     return docs.select("doc_id", "text").mapInArrow(_cut(tokenizer_path, capacity), PIECES)
 
 
-def _pair(left: np.ndarray, total: int) -> tuple[int, ...]:
-    """Two available lengths of that sum, the longer one as long as can be."""
-    if total < 2:
+class SumIndex:
+    """Which one, two or three lengths make up a sum: built once, used up by look-up.
+
+    ``pairs[total]`` are the shorter lengths of the pairs of that sum, the shortest
+    first; a triple is its longest length and a pair of what remains. Counts only
+    fall, so what was passed over for want of a length never comes back, and each sum keeps
+    its place among its pairs and among its triples.
+    """
+
+    def __init__(self, left: np.ndarray):
+        self.left = left
+        have = np.flatnonzero(left)
+        low, high = (have[i] for i in np.triu_indices(len(have)))
+        total = low + high
+        fits = total < len(left)
+        low, total = low[fits], total[fits]
+        order = np.lexsort((low, total))
+        self.pairs = np.split(low[order], np.searchsorted(total[order], np.arange(1, len(left))))
+        self.longest = [have[have < total][::-1] for total in range(len(left))]
+        self.at_pair, self.at_triple = [0] * len(left), [0] * len(left)
+
+    def _has(self, *lengths: int) -> bool:
+        return all(self.left[length] >= lengths.count(length) for length in lengths)
+
+    def pair(self, total: int) -> tuple[int, ...]:
+        """Two available lengths of that sum, the longer one as long as can be."""
+        pairs = self.pairs[total]
+        while self.at_pair[total] < len(pairs):
+            low = int(pairs[self.at_pair[total]])
+            if self._has(low, total - low):
+                return (total - low, low)
+            self.at_pair[total] += 1
+        return ()
+
+    def triple(self, total: int) -> tuple[int, ...]:
+        """Three available lengths of that sum, the longest as long as can be."""
+        longest = self.longest[total]
+        while self.at_triple[total] < len(longest):
+            first = int(longest[self.at_triple[total]])
+            if first * 3 < total:
+                break
+            if self.left[first]:
+                for low in self.pairs[total - first].tolist():
+                    if self._has(first, total - first - low, low):
+                        return (first, total - first - low, low)
+            self.at_triple[total] += 1
         return ()
-    low = np.arange(1, total // 2 + 1)
-    fits = (left[low] > 0) & (left[total - low] > 0) & ((low * 2 != total) | (left[low] > 1))
-    return (total - int(low[fits][0]), int(low[fits][0])) if fits.any() else ()
-
-
-def _complement(left: np.ndarray, gap: int) -> tuple[int, ...]:
-    """One, two or three available lengths that sum to the gap."""
-    if left[gap]:
-        return (gap,)
-    if found := _pair(left, gap):
-        return found
-    for longest in np.flatnonzero(left[:gap])[::-1]:
-        if longest * 3 < gap:
-            break
-        left[longest] -= 1
-        found = _pair(left, gap - int(longest))
-        left[longest] += 1
-        if found:
-            return (int(longest), *found)
-    return ()
+
+    def complement(self, gap: int) -> tuple[int, ...]:
+        """One, two or three available lengths that sum to the gap."""
+        return (gap,) if self.left[gap] else self.pair(gap) or self.triple(gap)
 
 
 def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
@@ -143,12 +186,13 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[tupl
     left = np.zeros(capacity + 1, np.int64)
     for length, n in counts.items():
         left[length] = n
+    sums = SumIndex(left)
     done: list[tuple[tuple[int, ...], int]] = []
     rest: list[tuple[int, int]] = []
     for length in range(capacity, 0, -1):
         while left[length]:
             left[length] -= 1
-            others = _complement(left, capacity - length) if length < capacity else ()
+            others = sums.complement(capacity - length) if length < capacity else ()
             left[length] += 1
             if length < capacity and not others:
                 rest.append((length, int(left[length])))
