@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medclaims.llm.common import byte_texts, covered, rolling, scratch, word_hashes
+from medclaims.llm.common import byte_texts, covered, hash_sample, rolling, scratch, word_hashes
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
@@ -199,8 +199,8 @@ def threshold(scored: DataFrame, labels: DataFrame, false_alarms: float = FALSE_
 
 def _sample(rows: DataFrame) -> np.ndarray:
     """Counts of the rows of least hash; repeated rows count once."""
-    rows = rows.select("doc_id", *COUNTS).distinct().orderBy(F.xxhash64("doc_id", *COUNTS), "doc_id", *COUNTS)
-    return rows.limit(SAMPLE_ROWS).select(*COUNTS).toPandas().to_numpy(np.int64).reshape(-1, len(COUNTS))
+    key = ["doc_id", *COUNTS]
+    return hash_sample(rows.select(*key).distinct(), key, SAMPLE_ROWS).select(*COUNTS).toPandas().to_numpy(np.int64).reshape(-1, len(COUNTS))
 
 
 def _span(rows: DataFrame) -> np.ndarray:
