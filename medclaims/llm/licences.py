@@ -1,14 +1,19 @@
 """Operator 9: licence scan by a trained paragraph classifier.
 
-A paragraph is a line. Those with a cue word go to a multinomial logistic
-regression over hashed word 1- and 2-grams, trained here on notices of each
-family (in part, and amid other words) and on corpus paragraphs as class ``unknown``. A family is reported
-if its probability passes a threshold calibrated on unknown paragraphs that were
-kept apart, and if the paragraph also holds most words of one of the family's
-templates. Only DataFrame functions and Spark's own learner are used.
-
-NULL text and texts without such paragraphs give an empty list of families.
-Repeated rows are scanned alike; an empty table gives an empty result; other columns are never looked at.
+A paragraph is a run of words around a cue word: a line of few words whole, a longer
+one in overlapping windows. Each goes to a multinomial logistic regression over hashed
+word 1- and 2-grams, trained here on notices of each family (in part, and amid other
+words) and, as class ``unknown``, on notices of other licences, on prose with cue words
+and on all paragraphs of the corpus that no template resembles. What
+counts for a family is its odds against ``unknown`` alone, so that a paragraph can hold several
+families. A family is reported if those odds pass a limit calibrated on unknown
+paragraphs kept apart, and if the paragraph also holds most words of one of the
+family's templates and one of the names (or set phrases) the family goes by. Only
+DataFrame functions and Spark's own learner are used; it sums over tasks.
+
+NULL text and texts without cue words give an empty list of families. Very long
+lines are windows like any other. Repeated rows are scanned alike; an empty table gives an
+empty result; other columns are never looked at.
 """
 
 from functools import reduce
@@ -20,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medclaims.llm.common import scratch
+from medclaims.llm.common import scratch, scratch_scope
 
 # How notices of common licences read.
 TEMPLATES = {
@@ -77,17 +82,66 @@ TEMPLATES = {
         "SPDX-License-Identifier: Unlicense",
     ],
 }
+# What a paragraph of a family says for certain, as words in a row.
+NAMES = {
+    "apache": ["apache", "you may not use this file except in compliance with the license"],
+    "bsd": ["bsd", "redistribution and use in source and binary forms"],
+    "cc": ["creative commons", "cc by"],
+    "gpl": ["gnu general public", "gpl"],
+    "lgpl": ["gnu lesser general public", "lgpl"],
+    "mit": ["mit", "to any person obtaining a copy of this software"],
+    "mpl": ["mozilla public", "mpl"],
+    "proprietary": ["all rights reserved", "proprietary and confidential"],
+    "public_domain": ["released into the public domain", "public domain dedication", "unlicense"],
+}
+# Notices of other licences and prose with cue words, which teach `unknown`.
+OTHERS = [
+    "Released under the ISC License",
+    "Licensed under the ISC License",
+    "This software is released under the zlib License",
+    "Licensed under the European Union Public License 1.2",
+    "Licensed under the European Union Public Licence, version 1.2 or later",
+    "Distributed under the Boost Software License, Version 1.0",
+    "Released under the Artistic License 2.0",
+    "Licensed under the Eclipse Public License 2.0",
+    "Licensed under the EPL 2.0",
+    "Released under the Common Development and Distribution License, Version 1.0",
+    "Licensed under the SIL Open Font License, Version 1.1",
+    "Licensed under the Academic Free License version 3.0",
+    "Released under the PostgreSQL License",
+    "This work is licensed under the Open Database License",
+    "Released under the Python Software Foundation License Version 2",
+    "Do what you want to public license",
+    "SPDX-License-Identifier: ISC",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: BSL-1.0",
+    "a driving license is a permission to drive a car",
+    "she lost her license and asked for permission to leave",
+    "the state issues a license to sell food in public places",
+    "poetic license gave the author permission to change the story",
+    "the law of copyright protects authors of books",
+    "a public domain of the city where people meet",
+    "the redistribution of wealth was a question of the day",
+    "the company has proprietary methods of its own",
+    "without the permission of the owner nobody may enter",
+    "the new license plate was issued under the old law",
+]
 UNKNOWN = "unknown"
 CLASSES = [UNKNOWN, *TEMPLATES]
 # every template has one of these
 CUES = r"(?i)licen[cs]e|copyright|rights reserved|public domain|redistribution|permission|proprietary"
 
-# paragraphs of the corpus that teach `unknown`, at most; every other one calibrates
-UNKNOWN_ROWS = 4000
+# a line of so many words is one paragraph; windows of a longer one reach so far to both sides of a cue
+LINE_WORDS = 40
+REACH = 20
 FEATURES = 1 << 12
 LEAST_PROBABILITY = 0.5
-UNKNOWN_QUANTILE = 0.999
+# share of the unknown paragraphs kept apart that may pass the limit
+FALSE_ALARMS = 0.001
 LEAST_SIMILARITY = 0.75
+# steps of probability that the limit is told by
+_BINS = 1000
 
 
 def words_of(text: Column) -> Column:
@@ -106,30 +160,38 @@ def grams_of(words: Column) -> Column:
 
 
 def featured(paragraphs: DataFrame) -> DataFrame:
-    """Adds words, grams and the sparse vector to rows with ``paragraph``."""
-    rows = paragraphs.withColumn("words", words_of(F.col("paragraph")))
-    rows = rows.withColumn("grams", grams_of(F.col("words")))
+    """Adds grams and the sparse vector to rows with ``words``."""
+    rows = paragraphs.withColumn("grams", grams_of(F.col("words")))
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True).transform(rows)
 
 
-def cued_lines(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, lines): the lines with a cue word, with their numbers."""
-    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(i.alias("line"), line.alias("paragraph")))
-    cued = F.filter(lines, lambda x: x["paragraph"].rlike(CUES))
-    empty = F.array().cast("array<struct<line:int,paragraph:string>>")
+# windows of (cue, word number) lists: from REACH words before a cue to as many after it; a cue that
+# the window before has at its middle or earlier needs no window of its own
+_WINDOWS = f"""CASE WHEN size(words) <= {LINE_WORDS} THEN array(words) ELSE transform(
+    aggregate(filter(sequence(0, size(words) - 1), i -> words[i] RLIKE '{{cues}}'), CAST(array() AS array<int>),
+              (kept, i) -> CASE WHEN size(kept) > 0 AND i - kept[size(kept) - 1] < {REACH // 2} THEN kept ELSE concat(kept, array(i)) END),
+    i -> slice(words, greatest(i - {REACH}, 0) + 1, 2 * {REACH} + 1)) END"""
+_CUE_WORDS = "licen[cs]e|copyright|rights|reserved|public|domain|redistribution|permission|proprietary"
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, paragraphs): the words of the paragraphs around cue words."""
+    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(CUES))
+    words = F.transform(lines, words_of)
+    windows = F.expr("flatten(transform(lines, words -> " + _WINDOWS.replace("{cues}", _CUE_WORDS) + "))")
+    empty = F.array().cast("array<array<string>>")
     return docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.when(F.col("text").rlike(CUES), cued).otherwise(empty).alias("lines"),
-    )
+        F.when(F.col("text").rlike(CUES), words).otherwise(empty).alias("lines"),
+    ).select("row", "doc_id", windows.alias("paragraphs"))
 
 
-def unknown_paragraphs(docs: DataFrame) -> DataFrame:
-    """A bounded sample of ordinary paragraphs: one line each of the texts of least hash."""
-    one = F.element_at(F.split("text", "\n"), -1)
-    lines = docs.where("text IS NOT NULL").select(one.alias("paragraph"), F.xxhash64("doc_id").alias("hash"))
-    lines = lines.where((F.length("paragraph") > 0) & ~F.col("paragraph").rlike(CUES))
-    return lines.orderBy("hash", "paragraph").limit(UNKNOWN_ROWS).select(
-        F.lit(0.0).alias("label"), F.col("paragraph"), F.pmod("hash", F.lit(2)).alias("part")
+def unknown_paragraphs(found: DataFrame) -> DataFrame:
+    """The distinct paragraphs of the corpus that no template resembles; half of them calibrate."""
+    rows = found.select(F.explode("paragraphs").alias("words")).distinct()
+    best = F.greatest(*[template_share(F.col("words"), family) for family in TEMPLATES])
+    return rows.where(best < LEAST_SIMILARITY).select(
+        F.lit(0.0).alias("label"), "words", F.pmod(F.xxhash64("words"), F.lit(2)).alias("part")
     )
 
 
@@ -143,60 +205,85 @@ def notices(spark) -> DataFrame:
             for text in (template, " ".join(words[:keep]), " ".join(words[-keep:]), f"{template} see the file for details",
                          f"Note: {template}, by the authors 2024"):
                 rows += [(float(number), text)] * 5
+    for text in OTHERS:
+        words = text.split()
+        rows += [(0.0, t) for t in (text, f"{text}.", f"Note: {text}, by the authors 2024", f"{text} see the file for details",
+                                    " ".join(words[:-1]), " ".join(words[1:]))] * 5
     labels, texts = zip(*rows)
-    return spark.createDataFrame(pa.table({"label": pa.array(labels), "paragraph": pa.array(texts)})).withColumn(
-        "part", F.lit(0).cast("long")
-    )
+    given = spark.createDataFrame(pa.table({"label": pa.array(labels), "text": pa.array(texts)}))
+    return given.select("label", words_of(F.col("text")).alias("words"), F.lit(0).cast("long").alias("part"))
+
 
+def other_notices(spark) -> DataFrame:
+    """Notices of other licences as they read in a longer line, for calibration."""
+    texts = [f"{before} {text} {after}" for text in OTHERS for before, after in (("The module is", "as stated"), ("See:", ""), ("", "2024, all files"))]
+    given = spark.createDataFrame(pa.table({"text": pa.array(texts)}))
+    return given.select(F.lit(0.0).alias("label"), words_of(F.col("text")).alias("words"), F.lit(1).cast("long").alias("part"))
 
-def train(docs: DataFrame) -> tuple[LogisticRegressionModel, float]:
-    """The classifier and the probability a family must pass."""
-    unknown = scratch(unknown_paragraphs(docs).coalesce(1), "unknown_paragraphs")
-    rows = featured(notices(docs.sparkSession).unionByName(unknown.where("part = 0"))).select("label", "features")
-    learner = LogisticRegression(maxIter=60, regParam=0.001, family="multinomial", aggregationDepth=2)
-    model = learner.fit(rows.coalesce(1))
-    apart = classified(model, unknown.where("part = 1"))
-    limit = apart.agg(F.percentile("probability", F.lit(UNKNOWN_QUANTILE))).first()[0]
-    return model, max(LEAST_PROBABILITY, limit or 0.0)
 
+def train(found: DataFrame) -> tuple[LogisticRegressionModel, float]:
+    """The classifier and the probability against ``unknown`` that a family must pass."""
+    spark = found.sparkSession
+    rows = notices(spark).unionByName(other_notices(spark)).unionByName(unknown_paragraphs(found))
+    with scratch_scope(spark):
+        rows = scratch(rows, "teaching")
+        learner = LogisticRegression(maxIter=60, regParam=0.001, family="multinomial", aggregationDepth=2)
+        model = learner.fit(featured(rows.where("part = 0")).select("label", "features"))
+        apart = with_odds(model, rows.where("part = 1")).select(F.array_max("chances").alias("chance"))
+        bins = {r.bin: r["count"] for r in apart.groupBy(F.ceil(F.col("chance") * _BINS).cast("int").alias("bin")).count().collect()}
+    above, limit = 0, _BINS
+    for bin_ in sorted(bins, reverse=True):
+        limit = bin_
+        above += bins[bin_]
+        if above > FALSE_ALARMS * sum(bins.values()):
+            break
+    # an unknown notice that is as sure as can be leaves the decision to the names
+    return model, min(max(LEAST_PROBABILITY, limit / _BINS), 0.9)
 
-def classified(model: LogisticRegressionModel, paragraphs: DataFrame) -> DataFrame:
-    """Adds the likeliest family and its probability."""
-    rows = model.transform(featured(paragraphs)).withColumn("by_class", vector_to_array("probability"))
-    best = F.array_max(F.transform(
-        F.slice("by_class", 2, len(TEMPLATES)), lambda p, i: F.struct(p.alias("p"), (-i).alias("back"))
-    ))
-    families = F.array(*map(F.lit, TEMPLATES))
-    return rows.drop("probability", "prediction", "rawPrediction", "features", "grams").withColumn(
-        "best", best
-    ).withColumn("probability", F.col("best.p")).withColumn("family", F.element_at(families, 1 - F.col("best.back")))
 
+def with_odds(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
+    """Adds ``chances``: the probability of each family, as if it and ``unknown`` were all there is."""
+    rows = model.transform(featured(rows)).withColumn("raw", vector_to_array("rawPrediction"))
+    odds = F.transform(F.slice("raw", 2, len(TEMPLATES)), lambda x: 1 / (1 + F.exp(F.get("raw", F.lit(0)) - x)))
+    return rows.withColumn("chances", odds).drop("probability", "prediction", "rawPrediction", "features", "grams", "raw")
 
-def similarity(words: Column, family: Column) -> Column:
-    """The share of a template's words that the paragraph holds, at the best template."""
+
+def template_share(words: Column, family: str) -> Column:
+    """The share of a template's words that the paragraph holds, at the family's best template."""
     def share(template: str) -> Column:
         own = sorted(set("".join(c if c.isalnum() else " " for c in template.lower()).split()))
         return F.size(F.array_intersect(words, F.array(*map(F.lit, own)))) / len(own)
 
-    by_family = [
-        F.when(family == name, F.array_max(F.array(*map(share, templates)))) for name, templates in TEMPLATES.items()
+    return F.greatest(F.lit(0.0), *map(share, TEMPLATES[family]))
+
+
+def named(words: Column, family: str) -> Column:
+    """Whether the paragraph has one of the names of the family, word by word."""
+    text = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(f" {name} ")) for name in NAMES[family]])
+
+
+def families_of(rows: DataFrame, limit: float) -> DataFrame:
+    """(row, family, probability, similarity): all families that pass in a paragraph with ``words`` and ``chances``."""
+    tested = [
+        F.struct(F.lit(family).alias("family"), F.get("chances", F.lit(i)).alias("probability"),
+                 F.when(named(F.col("words"), family), template_share(F.col("words"), family)).alias("similarity"))
+        for i, family in enumerate(TEMPLATES)
     ]
-    return reduce(lambda a, b: F.coalesce(a, b), by_family)
+    found = rows.select("row", "number", F.inline(F.array(*tested)))
+    return found.where((F.col("similarity") >= LEAST_SIMILARITY) & (F.col("probability") >= limit))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """Per document the licence families found, and the surest paragraph's figures."""
-    lines = scratch(cued_lines(docs), "cued_lines")
-    model, limit = train(docs)
-    found = classified(model, lines.select("row", F.inline("lines")))
-    found = found.withColumn("similarity", similarity(F.col("words"), F.col("family"))).where(
-        (F.col("probability") >= limit) & (F.col("similarity") >= LEAST_SIMILARITY)
-    )
-    by_doc = found.groupBy("row").agg(
-        F.count("*").alias("n_paragraphs"), F.sort_array(F.collect_set("family")).alias("families"),
+    found = scratch(paragraphs(docs), "paragraphs")
+    model, limit = train(found)
+    rows = found.select("row", F.posexplode("paragraphs").alias("number", "words"))
+    by_doc = families_of(with_odds(model, rows), limit).groupBy("row").agg(
+        F.count_distinct("number").alias("n_paragraphs"), F.sort_array(F.collect_set("family")).alias("families"),
         F.max("probability").alias("probability"), F.max("similarity").alias("similarity"),
     )
-    return lines.select("row", "doc_id").join(by_doc, "row", "left").select(
+    return found.select("row", "doc_id").join(by_doc, "row", "left").select(
         "doc_id", F.coalesce("n_paragraphs", F.lit(0)).cast("long").alias("n_paragraphs"),
         F.coalesce("families", F.array().cast("array<string>")).alias("families"), "probability", "similarity",
     )
