@@ -355,13 +355,70 @@ def test_quality_classifier(spark, docs, labels):
     assert not any(r.rejected for r in quality_classifier.classify(docs, labels.where("false")).collect())
 
 
-def test_views_exchange_sure_labels():
+def _stored(spark, parts, *views):
+    blobs = [[row.astype("<f4").tobytes() for row in v] for v in views]
+    table = pa.table({name: pa.array(b, pa.binary()) for name, b in zip(("text_view", "metadata_view"), blobs)})
+    return scratch(spark.createDataFrame(table).repartition(parts), "views")
+
+
+def test_views_exchange_sure_labels(spark):
+    """The second view knows nothing of the given labels but all of the pseudo-labelled ones."""
     rng = np.random.default_rng(1)
-    y = np.arange(40) % 2
-    pool_y = np.arange(400) % 2
-    data, pool = ((k[:, None] * 4 + rng.normal(size=(len(k), 2)), rng.normal(size=(len(k), 2))) for k in (y, pool_y))
-    _, gained = quality_classifier.co_train(data, y, pool)
-    assert gained[1] > 0
+    y, pool_y = np.arange(40) % 2, np.arange(400) % 2
+    data = (y[:, None] * 4 + rng.normal(size=(40, 2)), rng.normal(size=(40, 2)))
+    pool = (pool_y[:, None] * 4 + rng.normal(size=(400, 2)), pool_y[:, None] * 3 + rng.normal(size=(400, 2)))
+    models, gained = quality_classifier.co_train(data, y, _stored(spark, 3, *pool))
+    assert gained[1] > 40
+    right = (models[1].log_odds(pool[1]) > 0) == (pool_y == 1)
+    alone = (quality_classifier.Regression.fit(data[1], y).log_odds(pool[1]) > 0) == (pool_y == 1)
+    assert right.mean() > 0.8 > alone.mean()
+
+
+def test_steps_over_tasks_are_those_over_all_rows(spark):
+    """Sums over Spark's tasks against the same formula over one matrix."""
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(500, 3)).astype("<f4").astype(float), rng.normal(size=(500, 2)).astype("<f4").astype(float))
+    pair = tuple(quality_classifier.Regression(np.zeros(n), np.ones(n), np.append(rng.normal(size=n) * 4, 0.1)) for n in (3, 2))
+    labellers = tuple(quality_classifier.Regression(np.zeros(n), np.ones(n), np.append(np.full(n, 3.0), 0)) for n in (3, 2))
+    found = quality_classifier.pseudo_sums(_stored(spark, 7, *x), labellers, pair)
+    for view in (0, 1):
+        chance = 1 / (1 + np.exp(-(np.column_stack([x[1 - view], np.ones(500)]) @ labellers[1 - view].weights)))
+        z = np.column_stack([x[view], np.ones(500)])
+        for label, chosen in enumerate((chance <= 0.03, chance >= 0.97)):
+            p = 1 / (1 + np.exp(-(z[chosen] @ pair[view].weights)))
+            slope = z[chosen].T @ (p - label)
+            curve = sum(np.outer(row, row) / 4 for row in z[chosen])
+            expected = np.concatenate([[chosen.sum()], slope, curve.reshape(-1)])
+            assert np.allclose(found[2 * view + label], expected)
+    assert quality_classifier.pseudo_sums(_stored(spark, 1, x[0][:0], x[1][:0]), labellers, pair) == [None] * 4
+
+
+def test_a_hot_id_leaves_no_trace_in_the_model(spark, monkeypatch):
+    """One labelled id on most rows; the sample is bounded by ids, and partitioning changes nothing."""
+    monkeypatch.setattr(quality_classifier, "LABELLED", 60)
+    rows_ = [(i, prose(20, i) if i % 4 else "### $$$ BUY!! " * (5 + i % 9), "en", f"s{i % 3}", 300) for i in range(300)]
+    rows_ += [(1, prose(20, 1000 + i), "en", "s0", 300) for i in range(600)] + [(None, "x", None, None, None)] * 50
+    known = spark.createDataFrame(pa.table({"doc_id": list(range(200)), "quality": [int(i % 4 > 0) for i in range(200)]}))
+    models = [quality_classifier.train(frame(spark, rows_).repartition(parts), known) for parts in (1, 7, 20)]
+    assert models[0] is not None
+    for model in models[1:]:
+        assert model.limit == models[0].limit
+        for own, first in zip((*model.views, *model.calibrations, model.combined), (*models[0].views, *models[0].calibrations, models[0].combined)):
+            assert np.allclose(own.weights, first.weights, rtol=1e-4, atol=1e-4)
+
+
+def test_the_limit_lets_good_documents_pass(spark):
+    """Against the order statistic of all good documents kept apart."""
+    rng = np.random.default_rng(3)
+    one = quality_classifier.Regression(np.zeros(1), np.ones(1), np.array([1.0, 0.0]))
+    both = quality_classifier.Regression(np.zeros(2), np.ones(2), np.array([1.0, 1.0, 0.0]))
+    model = quality_classifier.Model((one, one), (one, one), both, 0.0)
+    x = rng.normal(size=(3000, 1)).astype("<f4").astype(float) * 3
+    stored = _stored(spark, 4, x, x).withColumn("bad", F.lit(0))
+    limit = quality_classifier._limit(stored, model)
+    odds = np.sort(2 * x[:, 0])[::-1]
+    allowed = int(quality_classifier.FALSE_ALARMS * len(odds))
+    assert (odds > limit).sum() <= allowed and abs(limit - odds[allowed]) < 0.002
 
 
 def test_licences(spark):
@@ -377,6 +434,25 @@ def test_licences(spark):
     assert found == {i: e for i, (_, e) in notices.items()} | {100 + i: "" for i in range(50)}
 
 
+def test_other_licences_are_no_known_family_and_long_lines_lose_nothing(spark):
+    others = ["Released under the ISC License", "This software is released under the zlib License.", "Distributed under the Boost Software License, Version 1.0.",
+              "Licensed under the European Union Public License 1.2", "Released under the Artistic License 2.0", "Licensed under the EPL 2.0",
+              "Licensed under the Eclipse Public License 2.0.", "She has no license to drive and asked for permission.", "Public domain of the city"]
+    expected = {i: "" for i in range(len(others))}
+    around = [prose(1200, 7, 3000), prose(1200, 8, 3000)]
+    table = [(i, t, "en", "s", 1) for i, t in enumerate(others)]
+    for i, (notice, families) in enumerate([
+        ("Released under the MIT License.", "mit"), ("Licensed under the Mozilla Public License 2.0", "mpl"), ("ISC License", ""),
+        ("Dual licensed under the MIT License or the Apache License, Version 2.0.", "apache,mit"), ("All rights reserved.", "proprietary"),
+    ]):
+        table += [(100 + i, notice, "en", "s", 1), (200 + i, f"{around[0]} {notice} {around[1]}", "en", "s", 1)]
+        expected |= {100 + i: families, 200 + i: families}
+    table += [(300, f"Released under the MIT License. {around[0]} Licensed under the Apache License, Version 2.0", "en", "s", 1)]
+    expected[300] = "apache,mit"
+    found = {r.doc_id: ",".join(r.families) for r in licences.scan(frame(spark, table)).collect()}
+    assert found == expected
+
+
 def test_empty_tables(spark, labels):
     empty = frame(spark, [])
     results = [
