@@ -77,8 +77,6 @@ FACT_COLUMNS = ["claim_key", *FACT_SCHEMA.names]
 FACT_ORDER = ["claim_id", "claim_type", "patient_key", "provider_key", "primary_diagnosis_key"]
 
 
-# how the join values of rows without an id begin
-_NO_ID = "\0"
 # patient rows of an id, on average, from which on claims are multiplied rather than segments
 MANY_ROWS = 2.0
 
@@ -144,16 +142,12 @@ def look_up(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """LEFT equi join from an id to its key; unmatched ids get NULL.
 
     Rows without an id match nothing. A shuffled join would bring all of them to
-    one task, so they join by a text of their claim instead, which no id can be:
-    ids of the dimension that begin like it are looked up as themselves by no row.
+    one task, so they are dealt out by their claim instead.
     """
     found = keys.withColumnRenamed(column, "_id")
-    if dict(rows.dtypes)[column] == "string":
-        nothing = F.concat(F.lit(_NO_ID), F.coalesce(F.col("CLM_ID").cast("string"), F.lit("")))
-        found = found.where(~F.startswith("_id", F.lit(_NO_ID)))
-    else:
-        nothing = -1 - F.pmod(F.xxhash64("CLM_ID"), F.lit(1 << 40))
-    return rows.join(found, F.coalesce(column, nothing) == F.col("_id"), "left").drop("_id")
+    dealt = F.xxhash64("CLM_ID").cast(rows.schema[column].dataType)
+    on = (F.coalesce(column, dealt) == F.col("_id")) & F.col(column).isNotNull()
+    return rows.join(found, on, "left").drop("_id")
 
 
 def look_up_keys(segments: DataFrame, dims: Dimensions) -> DataFrame:

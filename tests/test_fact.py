@@ -74,6 +74,14 @@ def test_different_unknown_ids_fall_together_under_the_null_key(raw, store):
     ]
 
 
+def test_an_id_that_looks_like_a_dealt_one_is_not_met(spark, raw, store):
+    """Rows without an id are dealt out by a hash of their claim; an id of that text is another thing."""
+    hashed = str(spark.sql("SELECT xxhash64(7L)").first()[0])
+    dims = raw.dimensions([(hashed, 5)], [("000001", 1)], [("4280", 1)])
+    rows = _run(raw, store, [_segment(7, 1, patient=None), _segment(8, 1, patient=hashed)], [], dims).collect()
+    assert sorted((r.claim_id, r.patient_key) for r in rows) == [(7, None), (8, 5)]
+
+
 def _brute_force(segments, patients, providers, codes):
     """Look up first, then group: the definition."""
     groups = defaultdict(list)
