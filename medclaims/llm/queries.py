@@ -4,7 +4,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from medclaims.llm import (
     decontamination,
     exact_dedup,
@@ -59,11 +58,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_decontamination": lambda spark, sf_dir: decontamination.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     ).drop("hits"),
-    "pipeline": corpus_pipeline.run,
 }
 
 
 
+# the crc32 of the byte list b in DuckDB: fixed polynomial, table by its rule
+_CRC_TABLE = """SELECT [list_reduce([c] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)
+                        FOR c IN range(256)] AS crcs"""
+_CRC = "xor(list_reduce([4294967295] || b, lambda h, x: xor(h >> 8, crcs[xor(h & 255, x) + 1])), 4294967295)"
+
+
 def _vector_codes_sql(parts: int = 16, entries: int = 64, size: int = 4, rounds: int = 2) -> str:
     """Every distance of every round; a book has one row per part and entry."""
     distance = " + ".join(f"(k.v[{i}] - b.v[{i}]) * (k.v[{i}] - b.v[{i}])" for i in range(1, size + 1))
@@ -161,8 +165,7 @@ ORACLE_SQL: dict[str, str] = {
     "op11_vector_codes": _vector_codes_sql(),
     "op12_spelling_variants": """
         WITH RECURSIVE lists AS MATERIALIZED (
-            SELECT [list_reduce([c] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)
-                    FOR c IN range(256)] AS crcs
+            """ + _CRC_TABLE + """
         ), runs AS (
             SELECT doc_id, run, count(*) AS n
             FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -174,8 +177,7 @@ ORACLE_SQL: dict[str, str] = {
                             FOR c IN string_split(doc_id || ':' || run, '')]) AS b
             FROM runs
         ), hashed AS (
-            SELECT run, n, xor(list_reduce([4294967295] || b, lambda h, x: xor(h >> 8, crcs[xor(h & 255, x) + 1])), 4294967295) AS h
-            FROM bytes, lists
+            SELECT run, n, """ + _CRC + """ AS h FROM bytes, lists
         ), altered AS (
             SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
             FROM hashed

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from medclaims.llm import (
+    common,
     components,
     exact_dedup,
     language_id,
@@ -202,6 +204,30 @@ def test_isolation_forest_scores_outliers_higher():
     assert outer.min() > np.quantile(inner, 0.95)
 
 
+def test_scores_are_mean_path_lengths():
+    """Every row walked down every tree by itself; what a leaf's rows would still take comes from the formula."""
+    rng = np.random.default_rng(7)
+    sample = rng.normal(size=(60, 2))
+    forest = quality_rules.grow(sample, trees=5, tree_rows=16)
+
+    def expected_path(n):
+        return 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n
+
+    for row in rng.normal(size=(40, 2)):
+        paths = []
+        for tree in range(5):
+            node = depth = 0
+            while forest.feature[tree, node] >= 0:
+                node = forest.child[tree, node] + int(row[forest.feature[tree, node]] >= forest.at[tree, node])
+                depth += 1
+            # a leaf's path is its depth and that of the rows left in it
+            rest = forest.at[tree, node] - depth
+            assert any(abs(rest - expected_path(n)) < 1e-9 for n in range(17))
+            paths.append(forest.at[tree, node])
+        score = 2 ** (-(sum(paths) / 5) / expected_path(16))
+        assert forest.scores(row[None])[0] == pytest.approx(score)
+
+
 def test_bad_documents_with_symbols_are_dropped(spark):
     def text(i):
         words = prose(random.Random(i).randrange(12, 300), i).split()
@@ -265,6 +291,18 @@ def test_sharding(docs, table):
     assert {(r.doc_id, r.grown_shard) for r in found} == {(r.doc_id, r.shard) for r in larger}
 
 
+def test_shards_against_hashes_outside_spark(docs, table):
+    """Each shard from MD5 and logarithms in Python, for even and uneven weights."""
+    def best(key, weights):
+        name = "null" if key is None else str(key)
+        chances = [(int(hashlib.md5(f"{name}:{s}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for s in range(len(weights))]
+        return max(range(len(weights)), key=lambda s: (-weights[s] / math.log(chances[s]), -s))
+
+    for weights in ([1.0] * 16, [0.5, 3.0, 1.0]):
+        for r in sharding.shard_rows(docs, weights, 2.0).collect():
+            assert r.shard == best(r.doc_id, weights) and r.grown_shard == best(r.doc_id, [*weights, 2.0])
+
+
 def test_shards_follow_their_weights(spark):
     ids = spark.range(4000).select(sharding.rendezvous(F.col("id"), [1.0, 3.0]).alias("s"))
     assert 0.72 < ids.agg(F.avg("s")).first()[0] < 0.78
@@ -481,3 +519,54 @@ def test_pipeline_stages(spark, docs, tmp_path):
             _, component = near_brute(rows_, 5)
             assert all(i is None or c == i for (i, _), c in component.items())
     same(collected(kept.drop("sequence_id", "offset")), collected(corpus_pipeline.run(spark, path).drop("sequence_id", "offset")))
+
+
+def test_near_copies_of_one_id_or_none_are_compared(spark):
+    base = prose(200, 1).split()
+    near = [" ".join(base[:i] + [f"new{i}"] + base[i:]) for i in range(0, 40, 10)]
+    table = [(None, t, None, None, 1) for t in near] + [(7, prose(90, 2), None, None, 1), (7, prose(90, 3), None, None, 1)]
+    kept = [r.text for r in minhash_dedup.drop_near_copies(frame(spark, table)).collect()]
+    assert len(kept) == 3 and set(kept) & set(near) and {prose(90, 2), prose(90, 3)} < set(kept)
+
+
+def test_a_hot_node_is_spread(spark):
+    """A star, a chain and loose links: components, and no place of a node with many of its links."""
+    links = [(i, 1) for i in range(2, 3000)] + [(10_000 + i, 9_999 + i) for i in range(1, 60)] + [(20_001, 20_000)]
+    df = scratch(spark.createDataFrame(pa.table({"a": [a for a, _ in links], "b": [b for _, b in links]})), "links")
+    found = {(r.a, r.b) for r in components.components(df, "test").collect()}
+    assert found == {(i, 1) for i in range(2, 3000)} | {(10_000 + i, 10_000) for i in range(1, 60)} | {(20_001, 20_000)}
+    turned = components._placed(df.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    assert turned.groupBy("a", "place").count().agg(F.max("count")).first()[0] < 3000 / 20
+
+
+def test_the_pipeline_on_empty_and_repeated_rows(spark, tmp_path):
+    long = prose(300, 4)
+    for name, table in (("none", []), ("hot", [(3, long, "en", "a", 9)] * 400 + [(None, None, None, None, None)] * 50 + [(4, prose(40, 9), "en", "b", 1)])):
+        path = str(tmp_path / name)
+        frame(spark, table).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame(pa.table({"doc_id": pa.array([3], pa.int64()), "quality": pa.array([1], pa.int64())})).write.parquet(f"{path}/labels.parquet")
+        found = corpus_pipeline.run(spark, path).collect()
+        assert {r.doc_id for r in found} == ({3, 4} if table else set())
+        for r in found:
+            assert r.offset + r.length <= 2048
+
+
+def test_scratch_goes_with_its_scope(spark):
+    with common.scratch_scope(spark):
+        outer = scratch(spark.range(3), "outer")
+        with common.scratch_scope(spark):
+            inner = common.numbered(scratch(spark.range(3), "inner"), "n", ["id"])
+            assert inner.count() == 3
+        assert outer.count() == 3
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            inner.count()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        outer.count()
+
+
+def test_a_sample_is_the_same_for_any_partitioning(spark):
+    df = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    first = common.hash_sample(df, ["k"], 50).collect()
+    assert len(first) == 50 and common.hash_sample(df.repartition(7), ["k"], 50).collect() == first
+    hashes = sorted(r[0] for r in df.select(F.xxhash64("k")).collect())[:50]
+    assert sorted(r[0] for r in spark.createDataFrame(first).select(F.xxhash64("k")).collect()) == hashes
