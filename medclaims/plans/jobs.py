@@ -177,7 +177,8 @@ def run_pipeline(
     patients. Each job turns its failure into text, so by default the pipeline goes on
     with the table as it was and reports success, as the source system does. ``strict`` stops
     at the first failure and reports it; then the jobs before it are logged
-    as they ended, but all tables stay as they were.
+    as they ended, but all tables stay as they were. Versions that were replaced
+    more than a day ago are removed.
     """
     results = {}
     try:
@@ -185,6 +186,7 @@ def run_pipeline(
             results[V.JOB_PATIENTS] = load_dim_patients(ctx, dedup, strict)
             results[V.JOB_FACT] = load_fact_claims(ctx, strict)
             results[V.JOB_MARTS] = refresh_marts(ctx, variant, strict)
+        ctx.store.remove_old_versions()
     except Exception as error:
         return JobResult(V.TEXT_PIPELINE_FAILED.format(error=error), ok=False)
     return JobResult(V.TEXT_PIPELINE_DONE, ok=all(r.ok for r in results.values()))

@@ -115,22 +115,29 @@ class TableStore:
             self._commit(done)
 
     def remove_old_versions(self, keep: int = 2, older_than: timedelta = timedelta(days=1)) -> int:
-        """Delete manifests but the last ``keep``, and versions that those do not name.
+        """Delete versions that no table has had for ``older_than``, and their manifests.
 
-        Only what has not changed for ``older_than`` goes, since a reader may still have it
-        open and a writer may not have committed it yet. Returns the number of versions deleted.
+        A reader may still have a version open that was replaced a while ago, however long ago it
+        was written, and a writer may not have committed its folder yet. The last ``keep``
+        manifests stay in any case. Returns the number of versions deleted.
         """
-        numbers = self._manifest_numbers()
-        named = {folder for n in numbers[-keep:] for folder in self._manifest(n).values()}
         fs, versions = self._fs(self.path(_VERSIONS))
         before = self.spark._jvm.java.lang.System.currentTimeMillis() - older_than.total_seconds() * 1000
+
+        def written(name: str) -> int:
+            return fs.getFileStatus(self._hadoop_path(self.path(name))).getModificationTime()
+
+        numbers = self._manifest_numbers()
+        replaced = [n for n, later in zip(numbers, numbers[1:]) if written(f"{_MANIFESTS}/{later:012}.json") <= before]
+        gone = [n for n in replaced if n not in numbers[-keep:]]
+        named = {folder for n in numbers if n not in gone for folder in self._manifest(n).values()}
         removed = 0
         for status in fs.globStatus(self._hadoop_path(f"{versions.toString()}/*")) or []:
             folder = f"{_VERSIONS}/{status.getPath().getName()}"
             if folder not in named and status.getModificationTime() <= before:
                 self._delete(folder)
                 removed += 1
-        for n in numbers[:-keep]:
+        for n in gone:
             self._delete(f"{_MANIFESTS}/{n:012}.json")
         return removed
 

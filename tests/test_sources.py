@@ -160,6 +160,16 @@ def test_old_versions_go_when_no_recent_manifest_names_them(spark, store):
     assert store.read("T").count() == 7
 
 
+def test_a_version_replaced_just_now_stays_however_old_it_is(spark, store):
+    for n in (1, 2, 3, 4):
+        folder = store.put("T", lambda path, n=n: spark.range(n).write.parquet(path))
+        os.utime(folder, (1, 1))
+    old = store.read("T")
+    store.replace("T", spark.range(9))
+    assert store.remove_old_versions(keep=1) == 0 and old.count() == 4
+    assert store.remove_old_versions(keep=1, older_than=timedelta(0)) == 4 and store.read("T").count() == 9
+
+
 def test_a_batch_is_appended_once(spark, store):
     assert store.append("LOG", spark.range(2), "run-1") and not store.append("LOG", spark.range(2), "run-1")
     assert store.append("LOG", spark.range(5, 6), "run-2") and store.append("LOG", spark.range(6, 7))
