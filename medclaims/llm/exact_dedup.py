@@ -7,7 +7,7 @@ verified winners are broadcast and their groups are settled without a shuffle.
 All other digests are aggregated and joined as usual, where no group is larger
 than that bound.
 
-NULL text counts as empty. The row with the largest ``doc_id`` stays (NULL is
+NULL text counts as empty, and very long texts are hashed whole. The row with the largest ``doc_id`` stays (NULL is
 the least); of repeated rows with one ``doc_id`` exactly one stays. Other columns
 are never looked at. An empty table gives an empty result.
 """

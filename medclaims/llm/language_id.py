@@ -9,8 +9,10 @@ the share of its letters the score.
 
 NULL text, or one without letters, is ``und`` with score 0. Training rows with NULL
 text or language teach nothing; if nothing was learned all is ``und``. Ties go
-to the first language by name. Repeated rows are labelled alike; other columns
-are never looked at.
+to the first language by name. Repeated rows are labelled alike. A very long text is held
+whole by a task, one number for each of its letters and languages. An empty table gives an
+empty result; other columns are never looked at. The driver holds one table of ``BUCKETS``
+numbers for each language, so the values of ``lang`` are taken to be few.
 """
 
 from collections.abc import Iterator

@@ -6,7 +6,7 @@ each bucket its place on the source's line of tokens, and a running sum inside
 the bucket gives each document its own. A source takes whole epochs and then the
 documents up to the exact cut, so a hot source is spread over its buckets.
 
-NULL source is a source of its own, last in order; NULL text has size 0 and is
+A very long text is one document, whole. NULL source is a source of its own, last in order; NULL text has size 0 and is
 never taken; repeated rows are documents of their own and lie side by side on
 the line. An empty table, or one without words, takes nothing. Other columns are
 never looked at.

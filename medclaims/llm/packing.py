@@ -11,7 +11,7 @@ through best fit, longest first, again on counts.
 Pieces are numbered within their length by range partitions, and each number
 falls into one slot of the plan, so a hot length is spread over tasks.
 
-NULL text is an empty document, one end id long. Repeated rows are packed once
+NULL text is an empty document, one end id long; a very long one is held whole by a task while it is cut. Repeated rows are packed once
 each. An empty table gives an empty result; other columns are never looked at.
 """
 

@@ -11,7 +11,8 @@ which lie at most ``FALSE_ALARMS`` of the good ones, the one that drops most bad
 
 NULL text has no words and fails, as does an empty one. Without labelled good
 rows only the base rules decide. NULL labels are ignored; of several labels of
-one document the worst counts. Repeated rows are judged alike. An empty table
+one document the worst counts. Repeated rows are judged alike; a very long text is counted
+whole by one task. An empty table
 gives an empty result; other columns are never looked at.
 """
 

@@ -7,7 +7,7 @@ weight. Only DataFrame functions are used.
 
 Places in a shard are numbered by range partitions of (shard, key) and their
 sizes, so no shard passes through one task. A NULL key is one more key; repeated
-rows get neighbouring places; a NULL text has no bytes. An empty table gives an
+rows get neighbouring places; a NULL text has no bytes, a very long one is read once. An empty table gives an
 empty result, and other columns are never looked at.
 """
 
@@ -41,8 +41,7 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 def shard_rows(docs: DataFrame, weights: Sequence[float], new_weight: float = 1.0) -> DataFrame:
     """Shard and place of every document, and its shard once one more is added.
 
-    The scores over the old shards are not computed again for the grown set: the
-    new shard wins where it beats them.
+    The new shard wins where its score beats those of all old shards.
     """
     placed = docs.select(
         "doc_id",

@@ -19,7 +19,8 @@ reaches a task once for each batch of documents rather than once for each docume
 
 NULL and empty texts have no words. Repeated rows are occurrences of their own, so
 windows of a repeated document go in all of them; rows are told apart by ``doc_id`` and text.
-Texts shorter than a window are left alone. Other columns are never looked at, and an empty
+Texts shorter than a window are left alone; a very long one is
+held whole by a task, some numbers for each of its words. Other columns are never looked at, and an empty
 table gives an empty result.
 """
 
