@@ -529,8 +529,10 @@ def test_near_copies_of_one_id_or_none_are_compared(spark):
     assert len(kept) == 3 and set(kept) & set(near) and {prose(90, 2), prose(90, 3)} < set(kept)
 
 
-def test_a_hot_node_is_spread(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_a_hot_node_is_spread(spark, monkeypatch, one_task):
     """A star, a chain and loose links: components, and no place of a node with many of its links."""
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
     links = [(i, 1) for i in range(2, 3000)] + [(10_000 + i, 9_999 + i) for i in range(1, 60)] + [(20_001, 20_000)]
     df = scratch(spark.createDataFrame(pa.table({"a": [a for a, _ in links], "b": [b for _, b in links]})), "links")
     found = {(r.a, r.b) for r in components.components(df, "test").collect()}
