@@ -139,13 +139,10 @@ class SumIndex:
 
     def __init__(self, left: np.ndarray):
         self.left = left
-        have = np.flatnonzero(left)
-        low, high = (have[i] for i in np.triu_indices(len(have)))
-        total = low + high
-        fits = total < len(left)
-        low, total = low[fits], total[fits]
-        order = np.lexsort((low, total))
-        self.pairs = np.split(low[order], np.searchsorted(total[order], np.arange(1, len(left))))
+        have = np.flatnonzero(left).astype(np.int32)
+        # the shorter length is half the sum at most
+        halves = [have[: np.searchsorted(have, total // 2, "right")] for total in range(len(left))]
+        self.pairs = [low[left[total - low] > 0] for total, low in enumerate(halves)]
         self.longest = [have[have < total][::-1] for total in range(len(left))]
         self.at_pair, self.at_triple = [0] * len(left), [0] * len(left)
 

@@ -44,7 +44,7 @@ CONFIDENT = 0.97
 PSEUDO_SHARE = 0.5
 FALSE_ALARMS = 0.002
 # tasks that add up what the others send
-_SUM_TASKS = 64
+_SUM_TASKS = 16
 # steps of log-odds that the limit is told by
 _BINS_PER_UNIT = 1000
 # rows whose matrices are made at once
