@@ -20,6 +20,14 @@ FAULTS = {
 }
 
 
+# the folder Spark gives to rows without a value
+_NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    rows.write.option("header", True).csv(path)
+
+
 def csv_copy(store: TableStore, name: str, table: DataFrame) -> str:
     """The folder of a table's CSV copy; written on first use."""
     folder = f"csv/{name}"
@@ -27,8 +35,19 @@ def csv_copy(store: TableStore, name: str, table: DataFrame) -> str:
         column, faulty, text = FAULTS[name]
         texts = {c: F.col(c).cast("string") for c in schemas.RAW[name].names}
         texts[column] = F.when(F.expr(faulty), F.lit(text)).otherwise(texts[column])
-        years = [F.col("src_year").alias("year")] if "src_year" in table.columns else []
-        rows = table.select(*[value.alias(c) for c, value in texts.items()], *years)
-        by = ["year"] if years else []
-        store.put(folder, lambda path: rows.write.partitionBy(*by).option("header", True).csv(path))
+        rows = table.select(*[value.alias(c) for c, value in texts.items()], *[c for c in ["src_year"] if c in table.columns])
+
+        def write(path: str) -> None:
+            if "src_year" not in rows.columns:
+                _write(rows, path)
+                return
+            # year by year, since one write into several folders sorts each task's rows by their folder
+            years = [row["src_year"] for row in table.select("src_year").distinct().collect()]
+            for year in years:
+                of_year = rows.where(F.col("src_year").eqNullSafe(F.lit(year))).drop("src_year")
+                _write(of_year, f"{path}/year={_NO_YEAR if year is None else year}")
+            if not years:
+                _write(rows.drop("src_year"), path)
+
+        store.put(folder, write)
     return store.folder(folder)

@@ -4,11 +4,16 @@ The mapping is the one in FIXTURES.md part 2: integer arithmetic and CASE only,
 so that every engine gets the same values.
 """
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from medclaims import schemas
 from medclaims.fixed_values import CONDITION_FLAGS
 
+# customers in one task; each gives three wide rows
+CUSTOMERS_PER_TASK = 12_500
+
 CODES = [
     "25000", "4280", "4019", "41401", "496", "5859", "V4581", "E8889", "1749",
     "4599", "2599", "78650", "459", "486", "390",
@@ -40,11 +45,16 @@ def _typed(df: DataFrame, schema, expressions: dict[str, str], extra: tuple[str,
 
 
 def beneficiary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three yearly rows per customer, with their year in ``src_year``."""
-    years = _table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey as k", "c_nationkey", "cast(abs(c_acctbal) as decimal(10,2)) as a",
-        "explode(array(2008, 2009, 2010)) as yr",
+    """Three yearly rows per customer, with their year in ``src_year``.
+
+    A customer file is small and often a single split, but its rows grow wide here, so
+    the customers are dealt out first, as many to a task at any size.
+    """
+    customers = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as k", "c_nationkey", "cast(abs(c_acctbal) as decimal(10,2)) as a"
     )
+    tasks = max(1, math.ceil(customers.count() / CUSTOMERS_PER_TASK))
+    years = customers.repartition(tasks, *customers.columns).selectExpr("*", "explode(array(2008, 2009, 2010)) as yr")
     month_day = "(1 + k % 12) * 100 + 1 + k % 28"
     zero = "0"
     flags = {

@@ -8,6 +8,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from medclaims import schemas
+from medclaims.sources import csv_load, tpch_claims
+from medclaims.sources.csv_copies import csv_copy
 from medclaims.sources.shared_dir import CHECKPOINT_SETTING, shared_dir
 from medclaims.sources.tables import TableStore
 
@@ -189,3 +192,31 @@ def test_a_failed_append_can_be_tried_again(spark, store):
 def test_a_missing_table_is_named(store):
     with pytest.raises(FileNotFoundError, match="NONE"):
         store.read("NONE")
+
+
+def test_customers_are_dealt_out_before_their_rows_grow_wide(spark, tmp_path):
+    customers = spark.range(2 * tpch_claims.CUSTOMERS_PER_TASK + 1).selectExpr(
+        "id as c_custkey", "cast(id % 25 as int) as c_nationkey", "cast(id as double) as c_acctbal"
+    )
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    rows = tpch_claims.beneficiary(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 3
+    assert rows.count() == rows.distinct().count() == 3 * customers.count()
+
+
+def test_no_customers(spark, store, tmp_path):
+    spark.createDataFrame([], "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    rows = tpch_claims.beneficiary(spark, str(tmp_path))
+    folder = csv_copy(store, "BENEFICIARY_SUMMARY", rows)
+    assert csv_load.read_beneficiary(spark, [folder])[0].count() == 0
+
+
+def test_csv_copies_are_in_folders_of_years(spark, raw, store):
+    rows = raw.beneficiary(
+        [{"DESYNPUF_ID": f"B{i:015}", "src_year": year} for i in (2, 3) for year in (2008, 2010, None)], year_column=True
+    )
+    folder = Path(csv_copy(store, "BENEFICIARY_SUMMARY", rows))
+    assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == ["year=2008", "year=2010", "year=__HIVE_DEFAULT_PARTITION__"]
+    good, rejected = csv_load.read_beneficiary(spark, [str(folder)])
+    assert sorted(map(str, good.select(*schemas.BENEFICIARY.names, "src_year").collect())) == sorted(map(str, rows.collect()))
+    assert rejected.count() == 0
