@@ -211,12 +211,13 @@ def test_no_customers(spark, store, tmp_path):
     assert csv_load.read_beneficiary(spark, [folder])[0].count() == 0
 
 
-def test_csv_copies_are_in_folders_of_years(spark, raw, store):
+def test_csv_copies_are_compressed_and_in_folders_of_years(spark, raw, store):
     rows = raw.beneficiary(
         [{"DESYNPUF_ID": f"B{i:015}", "src_year": year} for i in (2, 3) for year in (2008, 2010, None)], year_column=True
     )
     folder = Path(csv_copy(store, "BENEFICIARY_SUMMARY", rows))
     assert sorted(p.name for p in folder.iterdir() if p.is_dir()) == ["year=2008", "year=2010", "year=__HIVE_DEFAULT_PARTITION__"]
+    assert list(folder.rglob("*.csv.snappy")) and not list(folder.rglob("*.csv"))
     good, rejected = csv_load.read_beneficiary(spark, [str(folder)])
     assert sorted(map(str, good.select(*schemas.BENEFICIARY.names, "src_year").collect())) == sorted(map(str, rows.collect()))
     assert rejected.count() == 0
