@@ -9,6 +9,11 @@ that is done as it stands. Else the look-up gives each id *one* key, the least
 of its rows; segments are rolled up on integer keys, with unknown ids under the
 key NULL as they should be; and only the claims, a fraction of the segments, are
 multiplied by the rows of their beneficiary. Both ways give the same rows.
+
+In the first case segments are rolled up on their ids before the look-ups, which then shuffle
+claims and not segments. The numbers of a claim's segments are kept as the bits of a BIGINT
+meanwhile, which combines before the shuffle as a maximum does. Tables with a number that is no
+such bit have their segments looked up and counted by DISTINCT; that gives the same rows, too.
 """
 
 from collections.abc import Sequence
@@ -77,6 +82,10 @@ FACT_COLUMNS = ["claim_key", *FACT_SCHEMA.names]
 FACT_ORDER = ["claim_id", "claim_type", "patient_key", "provider_key", "primary_diagnosis_key"]
 
 
+# segment numbers from 0 up to this one are bits of a BIGINT
+LAST_BIT = 62
+_BITS = "_segments"
+
 # patient rows of an id, on average, from which on claims are multiplied rather than segments
 MANY_ROWS = 2.0
 
@@ -138,6 +147,18 @@ def roll_up(claims: DataFrame, measures: dict[str, str], by: Sequence[str]) -> D
     )
 
 
+def segments_are_bits(claims: DataFrame) -> bool:
+    """Whether the bits of a BIGINT can hold all segment numbers; on a stored table its statistics tell."""
+    return claims.where((F.col("SEGMENT") < 0) | (F.col("SEGMENT") > LAST_BIT)).isEmpty()
+
+
+def roll_up_bits(claims: DataFrame, measures: dict[str, str], by: Sequence[str]) -> DataFrame:
+    """``roll_up`` with the distinct segments as the bits of ``_BITS``: can be rolled up again."""
+    return claims.groupBy("CLM_ID", *by).agg(
+        *[F.max(raw).alias(name) for name, raw in measures.items()], F.bit_or(_BITS).alias(_BITS)
+    )
+
+
 def look_up(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """LEFT equi join from an id to its key; unmatched ids get NULL.
 
@@ -158,8 +179,14 @@ def look_up_keys(segments: DataFrame, dims: Dimensions) -> DataFrame:
 
 
 def _fact_rows(claims: DataFrame, claim_type: str, measures: dict[str, str], dims: Dimensions) -> DataFrame:
-    segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
-    rows = roll_up(look_up_keys(segments, dims), measures, KEY_COLUMNS)
+    if not dims.multiplies_claims and segments_are_bits(claims):
+        segments = claims.select("CLM_ID", *ID_COLUMNS, *measures.values(), F.expr("shiftleft(1L, SEGMENT)").alias(_BITS))
+        by_id = roll_up_bits(segments, measures, ID_COLUMNS)
+        rows = roll_up_bits(look_up_keys(by_id, dims), {name: name for name in measures}, KEY_COLUMNS)
+        rows = rows.withColumn("segment_count", F.coalesce(F.bit_count(_BITS), F.lit(0))).drop(_BITS)
+    else:
+        segments = claims.select("CLM_ID", "SEGMENT", *ID_COLUMNS, *measures.values())
+        rows = roll_up(look_up_keys(segments, dims), measures, KEY_COLUMNS)
     if dims.multiplies_claims:
         rows = look_up(rows, dims.all_rows, "patient_key").withColumn("patient_key", F.coalesce("own_key", "patient_key"))
     columns = ["CLM_ID", *KEY_COLUMNS, *measures, "segment_count"]

@@ -137,3 +137,26 @@ def test_claim_keys_do_not_depend_on_partitioning(spark, raw, store):
     one = ops.fact_claims(raw.inpatient(segments).coalesce(1), raw.outpatient([]), dims, store)
     many = ops.fact_claims(raw.inpatient(segments).repartition(13), raw.outpatient([]), dims, store)
     assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, many.collect()), key=str)
+
+
+@pytest.mark.parametrize("numbers", [[0, 1, 62], [0, 62, 63], [-1, 0, 64], [None]])
+def test_segment_numbers_that_are_bits_and_others(raw, store, numbers):
+    """Two unknown providers meet under NULL, so their segments are counted together."""
+    dims = raw.dimensions([("A", 1), ("A", 2)], [("000001", 1)], [("4280", 1)])
+    segments = [_segment(7, n, provider=p) for n in numbers for p in ("000001", "lost1", "lost2", None)]
+    segments += [_segment(7, 5, provider="lost2")]
+    rows = _run(raw, store, segments, segments, dims).collect()
+    known = len([n for n in numbers if n is not None])
+    found = {(r.claim_type, r.patient_key, r.provider_key): r.segment_count for r in rows}
+    assert len(rows) == len(found) == 8
+    for (_, _, provider), count in found.items():
+        assert count == known + (provider is None)
+
+
+def test_look_ups_shuffle_claims_and_not_segments(spark, raw):
+    dims = raw.dimensions([("A", 1)], [("000001", 1)], [("4280", 1)])
+    rows = ops.fact_outpatient(raw.outpatient([_segment(c, s) for c in range(9) for s in (1, 2)]), dims)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    # the segments are rolled up below the look-ups, and no shuffle is on their numbers
+    assert "Aggregate [CLM_ID" in text.split("Join", 1)[1]
+    assert "distinct" not in text
