@@ -221,3 +221,11 @@ def test_csv_copies_are_compressed_and_in_folders_of_years(spark, raw, store):
     good, rejected = csv_load.read_beneficiary(spark, [str(folder)])
     assert sorted(map(str, good.select(*schemas.BENEFICIARY.names, "src_year").collect())) == sorted(map(str, rows.collect()))
     assert rejected.count() == 0
+
+
+def test_tables_and_scratch_are_written_compressed(spark, store):
+    store.replace("t", spark.range(3))
+    scratch = store.scratch("s", spark.range(3))
+    for folder in (store.folder("t"), Path(scratch.inputFiles()[0].removeprefix("file:")).parent):
+        files = list(Path(folder).glob("*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
