@@ -1,6 +1,7 @@
 """Dimensions: calendar, patients, providers, diagnoses."""
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from medclaims import fixed_values as V
 from medclaims.functions import calendar as cal
 from medclaims.functions import labels, measures
-from medclaims.operators.keys import with_stable_key, with_surrogate_key
+from medclaims.operators.keys import tasks_for, with_stable_key, with_surrogate_key
 from medclaims.schemas import TOTAL
 from medclaims.sources.tables import TableStore
 
@@ -76,9 +77,11 @@ def identity_columns(key: str, columns: list[str], dedup: str = "literal") -> li
     return IDENTITY[key]
 
 
-def _keyed(df: DataFrame, key: str, order_by: list[str], store: TableStore, known: DataFrame | None, dedup="literal") -> DataFrame:
+def _keyed(
+    df: DataFrame, key: str, order_by: list[str], store: TableStore, known: DataFrame | None, dedup="literal", tasks=None
+) -> DataFrame:
     if known is None:
-        return with_surrogate_key(df, key, order_by, store)
+        return with_surrogate_key(df, key, order_by, store, tasks=tasks)
     return with_stable_key(df, key, order_by, identity_columns(key, df.columns, dedup), known, store)
 
 
@@ -89,10 +92,13 @@ def dim_patients(
 
     ``dedup="literal"`` keeps every distinct row (A10), so a beneficiary whose
     yearly values differ has several keys. ``dedup="latest"`` keeps one row per
-    beneficiary, that of the highest ``src_year``: a max over a struct, which
-    combines before the shuffle, where a window would gather whole groups. A row
+    beneficiary, that of the highest ``src_year``: a max over a struct. A row
     without a year is an error then, since any of them could be the latest.
 
+    Spark sorts for such a max, and a task's share of the bytes says little of the rows it
+    sorts, so beneficiaries are dealt out, a fixed number of rows to a task. Rows without an id
+    are one group; they combine before their shuffle instead.
+
     A first build numbers the distinct rows where it sorts them, in one shuffle. ``known``
     are the keys given before (identity, patient_key): distinct rows keep theirs, and
     with ``latest`` beneficiaries do, whatever has changed about them.
@@ -101,17 +107,24 @@ def dim_patients(
     if dedup == "literal":
         patients = beneficiary.select(*attributes)
         if known is None:
-            return with_surrogate_key(patients, "patient_key", patients.columns, store, distinct=True)
-        patients = patients.distinct()
+            return with_surrogate_key(patients, "patient_key", patients.columns, store, distinct=True, tasks=tasks_for(beneficiary))
+        patients, tasks = patients.distinct(), None
     elif dedup == "latest":
         no_year = F.raise_error(F.lit("a beneficiary row has no src_year: give the years of its files"))
         rows = beneficiary.select(*attributes, F.coalesce("src_year", no_year.cast("int")).alias("src_year"))
         names = [c for c in rows.columns if c not in ("patient_id", "src_year")]
-        newest = rows.groupBy("patient_id").agg(F.max(F.struct("src_year", *names)).alias("newest"))
+        tasks, has_id = tasks_for(beneficiary), F.col("patient_id").isNotNull()
+        newest = reduce(
+            DataFrame.unionByName,
+            [
+                part.groupBy("patient_id").agg(F.max(F.struct("src_year", *names)).alias("newest"))
+                for part in (rows.where(has_id).repartition(tasks, "patient_id"), rows.where(~has_id))
+            ],
+        )
         patients = newest.select("patient_id", *[f"newest.{name}" for name in names])
     else:
         raise ValueError(f"dedup is 'literal' or 'latest', not {dedup!r}")
-    return _keyed(patients, "patient_key", patients.columns, store, known, dedup)
+    return _keyed(patients, "patient_key", patients.columns, store, known, dedup, tasks)
 
 
 def provider_totals(inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Dense numbering at scale: surrogate keys (K1) and ranks."""
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,9 +12,22 @@ from medclaims.sources.tables import TableStore
 # monotonically_increasing_id holds the partition above, the row below this bit
 _ROW_BITS = 33
 
+# wide rows that one task sorts
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """How many tasks have ``ROWS_PER_TASK`` rows of ``df`` each; of a stored table its statistics are counted."""
+    return max(1, math.ceil(df.count() / ROWS_PER_TASK))
+
 
 def with_surrogate_key(
-    df: DataFrame, name: str, order_by: Sequence[str | Column], store: TableStore, distinct: bool = False
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[str | Column],
+    store: TableStore,
+    distinct: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """K1: ``name`` = 1..n in ``order_by`` order (a string sorts ascending, NULLs first).
 
@@ -26,10 +40,11 @@ def with_surrogate_key(
     ``order_by`` must tell all rows apart; then the keys do not depend on the
     number of partitions, and hot leading values are still split. With ``distinct``
     it must name all columns, and repeated rows are dropped: they meet in the range
-    partition that numbers them, so that takes no shuffle of its own.
+    partition that numbers them, so that takes no shuffle of its own. ``tasks`` is the number of
+    range partitions; without it the session decides, by their bytes, which say little of wide rows.
     """
     order = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(*order)
+    ranged = df.repartitionByRange(*order) if tasks is None else df.repartitionByRange(tasks, *order)
     placed = (
         (ranged.distinct() if distinct else ranged)
         .sortWithinPartitions(*order)

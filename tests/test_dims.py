@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from medclaims import fixed_values as V
-from medclaims.operators import dims
+from medclaims.operators import dims, keys
 
 
 def _patient(**values):
@@ -89,3 +90,25 @@ def test_codes_come_from_five_and_three_columns(raw, store):
     assert found == {"I1", "I2", "I3", "I4", "I5", "O1", "O2", "O3"}
     keyed = dims.dim_diagnoses(inpatient, outpatient, store).collect()
     assert sorted((r.diagnosis_key, r.icd9_code) for r in keyed) == list(enumerate(sorted(found), 1))
+
+
+def test_latest_has_as_many_rows_in_a_task_at_any_size(spark, raw, store, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 5)
+    ids = [*[f"P{i:02}" for i in range(20)], None]
+    rows = [_patient(DESYNPUF_ID=p, src_year=y, BENE_HMO_CVRAGE_TOT_MONS=y - 2000) for p in ids for y in (2009, 2010, 2008)]
+    patients = dims.dim_patients(raw.beneficiary(rows, year_column=True), store, dedup="latest")
+    # rows without an id are one patient
+    assert [(r.patient_key, r.patient_id, r.total_hmo_coverage_months) for r in patients.sort("patient_key").collect()] == [
+        (i, p, 10) for i, p in enumerate([None, *ids[:-1]], 1)
+    ]
+    (placed,) = store.scratch_paths()
+    per_task = spark.read.parquet(placed).groupBy(F.input_file_name()).count()
+    assert per_task.agg(F.max("count")).first()[0] <= 5
+
+
+def test_repeated_patients_are_dealt_out_too(spark, raw, store, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_TASK", 5)
+    rows = [_patient(DESYNPUF_ID=f"P{i:02}") for i in range(20)] * 2
+    assert dims.dim_patients(raw.beneficiary(rows), store).count() == 20
+    (placed,) = store.scratch_paths()
+    assert len(spark.read.parquet(placed).inputFiles()) > 4
