@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medclaims import fixed_values as V
 from medclaims.operators import dims, fact, joblog, quality
-from medclaims.plans import jobs, star
+from medclaims.plans import job_runs, jobs, star
 from medclaims.sources.tables import TableStore
 from tests.conftest import Clock
 
@@ -256,3 +256,24 @@ def test_one_row_per_claim_needs_unique_patients(raw, store):
         assert claims.count() == 3 * copies
         [check] = quality.quality_checks(claims, patients, [quality.DUPLICATES]).collect()
         assert check.records_failed == 3 * (copies - 1)
+
+
+@pytest.fixture
+def to_load(raw, store):
+    """Layers of which only the raw tables are there."""
+    segments = [{**s, "DESYNPUF_ID": f"B{s['CLM_ID'] % 2 + 2}"} for s in _segments()]
+    store.replace(star.BENEFICIARY_SUMMARY, raw.beneficiary(
+        [{"DESYNPUF_ID": f"B{i}", "BENE_BIRTH_DT": 19400101, "src_year": 2008} for i in (2, 3)], year_column=True))
+    store.replace(star.INPATIENT_CLAIMS, raw.inpatient(segments[:8]))
+    store.replace(star.OUTPATIENT_CLAIMS, raw.outpatient(segments[8:]))
+    return star.Layers(store)
+
+
+def test_the_quality_log_builds_what_the_checks_read(spark, to_load):
+    rows = job_runs.quality_log(to_load).collect()
+    assert len(rows) == 14 and {r.records_checked for r in rows if r.table_name == "FACT_CLAIMS"} == {6}
+    tables = TableStore(spark, to_load.store.path("jobs"))
+    assert not any(tables.exists(name) for name in star.MART_TABLES)
+    # a query that needs the marts finds them all the same
+    counts = {r.table_name: r.row_count for r in job_runs.table_counts(to_load).collect()}
+    assert counts[star.FACT_CLAIMS] == 6 and counts[star.MART_DIAGNOSIS] == 2
