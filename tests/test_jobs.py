@@ -277,3 +277,13 @@ def test_the_quality_log_builds_what_the_checks_read(spark, to_load):
     # a query that needs the marts finds them all the same
     counts = {r.table_name: r.row_count for r in job_runs.table_counts(to_load).collect()}
     assert counts[star.FACT_CLAIMS] == 6 and counts[star.MART_DIAGNOSIS] == 2
+
+
+def test_the_failed_run_builds_the_fact_once(to_load, monkeypatch):
+    built, build = [], fact.fact_claims
+    monkeypatch.setattr(fact, "fact_claims", lambda *tables: built.append(1) or build(*tables))
+    rows = job_runs.failed_log(to_load).collect()
+    assert [(r.job_name, r.status, r.rows_processed) for r in rows] == [
+        (V.JOB_MARTS, V.SUCCESS, 3), (V.JOB_FACT, V.SUCCESS, 2), (V.JOB_PATIENTS, V.FAILED, None)
+    ]
+    assert len(built) == 1
