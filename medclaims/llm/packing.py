@@ -32,7 +32,9 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END = b"\0\0\0\0"
 # words whose ids a worker remembers, twice this many at most
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
+# bytes; longer words are encoded each time
+_LONGEST_CACHED = 48
 _DOCS_AT_ONCE = 256
 # small Latin-1 letters, which no step before the merges changes
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
@@ -42,14 +44,28 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class _Known(dict):
-    """Word -> ids as little-endian bytes; a word that is not there is encoded when it is asked for."""
+    """Word -> ids as little-endian bytes; a word that is not there is encoded when it is asked for.
 
-    def __init__(self, encode: Callable[[bytes], bytes], older: dict[bytes, bytes]):
-        self.encode, self.older = encode, older
+    Holds ``CACHED_WORDS`` words, and as many ``older`` ones that go unless they are met again.
+    A very long word is not kept, and one with an end mark only if it was met without.
+    """
+
+    def __init__(self, encode: Callable[[bytes], bytes]):
+        self.encode, self.older = encode, {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word) or self.encode(word)
-        self[word] = ids
+        if word[-1:] in (b".", b",") and word[-2:-1] in _PLAIN_ENDS:
+            stem = word[:-1]
+            if stem not in self:
+                return self[stem] + self[word[-1:]]
+            ids = self[stem] + self[word[-1:]]
+        else:
+            ids = self.older.get(word) or self.encode(word)
+        if len(word) <= _LONGEST_CACHED:
+            if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -61,6 +77,7 @@ class WordEncoder:
     comma that ends a word is a word of its own. A word of small letters only
     goes straight to the merges, in the letters that stand for its bytes there.
     Frequent words are looked up; those not met for ``CACHED_WORDS`` other ones are forgotten.
+    Each Python worker has its own, beside an executor's heap, so it is bounded in words and in their length.
     """
 
     def __init__(self, path: str):
@@ -72,12 +89,12 @@ class WordEncoder:
         self.model = self.tokenizer.model
         byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {b: byte_level.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1] for b in range(0x80, 0xC0)}
-        self.known = _Known(self._encoded, {})
+        self.known = _Known(self._encoded)
 
     def _encoded(self, word: bytes) -> bytes:
-        if word[-1:] in (b".", b",") and word[-2:-1] in _PLAIN_ENDS:
-            return self.known[word[:-1]] + self.known[word[-1:]]
-        if _PLAIN.fullmatch(word):
+        if word.isalpha() and word.islower():  # ASCII letters stand for themselves
+            ids = [token.id for token in self.model.tokenize(word.decode())]
+        elif _PLAIN.fullmatch(word):
             ids = [token.id for token in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
         else:
             ids = self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids
@@ -88,8 +105,6 @@ class WordEncoder:
             # a special token is found by its exact letters
             words = (text if b"<|" in text else text.lower()).split()
             yield b"".join(map(self.known.__getitem__, words))
-            if len(self.known) > CACHED_WORDS:
-                self.known = _Known(self._encoded, dict(self.known))
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -106,11 +121,10 @@ def _cut(path: str, capacity: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))
             rows = []
-            for first in range(0, len(texts), _DOCS_AT_ONCE):
-                some = slice(first, first + _DOCS_AT_ONCE)
-                for doc_id, ids in zip(doc_ids[some], encoder.encode(texts[some])):
+            for first in range(0, batch.num_rows, _DOCS_AT_ONCE):
+                some = batch.slice(first, _DOCS_AT_ONCE)
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encoder.encode(byte_texts(some.column("text")))):
                     ids += END
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]

@@ -338,6 +338,17 @@ def test_ids_of_words_are_those_of_texts():
         assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist()
 
 
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 500)
+    encoder = packing.WordEncoder(tokenizer_path(packing.TOKENIZER))
+    texts = [" ".join(f"a{i}b, a{i}b a{i}b." for i in range(2000)), " ".join("x" * 500 + str(i) for i in range(50)), "the, end. The end, é."]
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert encoder.tokenizer.encode(text, add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist()
+        held = [*encoder.known, *encoder.known.older]
+        assert len(held) <= 1000
+        assert max(map(len, held)) < 100
+
+
 def test_plan_uses_every_piece_once():
     counts = {int(k): int(v) for k, v in zip(*np.unique(np.random.default_rng(2).integers(1, 101, 5000), return_counts=True))}
     patterns = packing.plan(counts, 100)
