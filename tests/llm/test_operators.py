@@ -552,6 +552,19 @@ def test_a_hot_node_is_spread(spark, monkeypatch, one_task):
     assert turned.groupBy("a", "place").count().agg(F.max("count")).first()[0] < 3000 / 20
 
 
+@pytest.mark.parametrize("one_task, queries", [(1000, 1), (400, 2)])
+def test_links_one_task_can_take_need_no_rounds(spark, monkeypatch, one_task, queries):
+    """Chains and repeated links. What a round leaves few enough goes to one task, too."""
+    monkeypatch.setattr(components, "ONE_TASK", one_task)
+    written = []
+    monkeypatch.setattr(components, "scratch", lambda df, label: written.append(label) or scratch(df, label))
+    links = [(i + 1, i) for first in range(0, 3000, 100) for i in range(first, first + 8)] * 2
+    df = scratch(spark.createDataFrame(pa.table({"a": [a for a, _ in links], "b": [b for _, b in links]})), "links")
+    found = sorted((r.a, r.b) for r in components.components(df, "test").collect())
+    assert found == sorted((first + i, first) for first in range(0, 3000, 100) for i in range(1, 9))
+    assert len(written) == queries
+
+
 def test_the_pipeline_on_empty_and_repeated_rows(spark, tmp_path):
     long = prose(300, 4)
     for name, table in (("none", []), ("hot", [(3, long, "en", "a", 9)] * 400 + [(None, None, None, None, None)] * 50 + [(4, prose(40, 9), "en", "b", 1)])):
