@@ -287,3 +287,10 @@ def test_the_failed_run_builds_the_fact_once(to_load, monkeypatch):
         (V.JOB_MARTS, V.SUCCESS, 3), (V.JOB_FACT, V.SUCCESS, 2), (V.JOB_PATIENTS, V.FAILED, None)
     ]
     assert len(built) == 1
+
+
+def test_counts_after_a_failed_reload_are_no_result(to_load, monkeypatch):
+    job_runs.table_counts(to_load)
+    _break(monkeypatch)
+    with pytest.raises(RuntimeError, match="^Pipeline FAILED: no disk"):
+        job_runs.table_counts(to_load)
