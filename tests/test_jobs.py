@@ -289,8 +289,22 @@ def test_the_failed_run_builds_the_fact_once(to_load, monkeypatch):
     assert len(built) == 1
 
 
-def test_counts_after_a_failed_reload_are_no_result(to_load, monkeypatch):
-    job_runs.table_counts(to_load)
+def test_counts_after_a_failed_reload_are_no_result(ctx, spark, monkeypatch):
+    for name in (*star.MART_TABLES, *[f"{name}_REJECTED" for name in star.RAW_TABLES]):
+        ctx.store.replace(name, spark.range(1))
+    monkeypatch.setattr(job_runs, "_loaded", lambda layers, names: ctx)
     _break(monkeypatch)
     with pytest.raises(RuntimeError, match="^Pipeline FAILED: no disk"):
-        job_runs.table_counts(to_load)
+        job_runs.table_counts(None)
+
+
+def test_the_pipeline_log_leaves_fact_and_marts_to_the_pipeline(to_load, monkeypatch):
+    there = []
+
+    def run(ctx, strict):
+        there.append([name for name in (*star.STAR_TABLES, *star.MART_TABLES) if ctx.store.exists(name)])
+        return jobs.JobResult("", ok=strict)
+
+    monkeypatch.setattr(jobs, "run_pipeline", run)
+    job_runs.pipeline_log(to_load)
+    assert there == [job_runs.DIMENSIONS] * 2
